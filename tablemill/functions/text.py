@@ -8,9 +8,16 @@ from pyspark.sql import functions as F
 from .columns import as_column
 
 
+# The characters that count as whitespace, in code point order.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip_whitespace(text: Column | str) -> Column:
-    """Remove tabs and newlines as well as blanks at both ends (``trim`` removes blanks only)."""
-    return F.regexp_replace(as_column(text), r"^\s+|\s+$", "")
+    """Remove tabs, newlines and wide blanks at both ends (``trim`` alone removes plain blanks only)."""
+    return F.btrim(as_column(text), F.lit(WHITESPACE))
 
 
 def normalize_whitespace(text: Column | str) -> Column:

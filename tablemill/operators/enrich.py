@@ -78,13 +78,12 @@ def golden_record(df: DataFrame, match_keys: Sequence[str], order_by: Sequence[s
     """
     order = F.struct(*order_by)
     others = [c for c in df.columns if c not in match_keys]
-    first = {c: F.min_by(c, F.when(~is_missing(df, c), order)) for c in others}
-    leading = {c: F.min_by(is_missing(df, c), order) for c in others}
+    gaps = F.struct(*[is_missing(df, c).alias(c) for c in others])
     merged = df.groupBy(*match_keys).agg(
-        *[value.alias(c) for c, value in first.items()],
-        *[flag.alias(f"_was_missing_{c}") for c, flag in leading.items()],
+        *[F.min_by(c, F.when(~is_missing(df, c), order)).alias(c) for c in others],
+        F.min_by(gaps, order).alias("_gaps"),
     )
-    imputed = sum(((F.col(f"_was_missing_{c}") & F.col(c).isNotNull()).cast("int") for c in others), F.lit(0))
+    imputed = sum(((F.col("_gaps")[c] & F.col(c).isNotNull()).cast("int") for c in others), F.lit(0))
     return merged.select(*df.columns, imputed.alias("imputed_cells"))
 
 

@@ -34,20 +34,41 @@ def exact_quantiles(
     """Interpolated quantiles as rows ``(*group_cols, column, n, quantiles)``.
 
     ``quantiles`` follows the order of ``probabilities``. Missing values do not count; a group
-    without values gets NULL. One counting job runs at once, to find groups above ``small_group``.
+    without values gets NULL. The sizes and brackets are computed at once, the result is lazy.
     """
-    keys = [*group_cols, "column"]
     probabilities = [float(p) for p in probabilities]
+    if group_cols:
+        return _by_group(df, columns, probabilities, list(group_cols), small_group)
+    values = _long_form(df, columns, [])
+    brackets = pin(_brackets(values, ["column"], probabilities).filter(F.col("n") > small_group), "brackets")
+    large = [row["column"] for row in brackets.select("column").collect()]  # some of the columns
+    small = [c for c in columns if c not in large]
+    parts = []
+    if large:
+        parts.append(_large_groups(_long_form(df, large, []), brackets, ["column"], probabilities))
+    if small:
+        parts.append(_small_groups(_long_form(df, small, []), ["column"], probabilities))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _by_group(
+    df: DataFrame, columns: Sequence[str], probabilities: list[float], group_cols: list[str], small_group: int
+) -> DataFrame:
+    keys = [*group_cols, "column"]
     values = _long_form(df, columns, group_cols)
     sizes = values.groupBy(*keys).agg(F.count("_value").alias("n"))
     large = pin(sizes.filter(F.col("n") > small_group).drop("n"), "large-groups")
     if large.isEmpty():
         return _small_groups(values, keys, probabilities)
-    hot = match_rows(values, large, keys, "left_semi").filter("_value IS NOT NULL")
+    hot = match_rows(values, large, keys, "left_semi")
     brackets = pin(_brackets(hot, keys, probabilities), "brackets")
-    counts = _candidate_counts(hot, brackets, keys, probabilities)
-    exact = _interpolate(_values_at_ranks(counts, keys, probabilities), keys, probabilities)
-    return exact.unionByName(_small_groups(match_rows(values, large, keys, "left_anti"), keys, probabilities))
+    rest = match_rows(values, large, keys, "left_anti")
+    return _large_groups(hot, brackets, keys, probabilities).unionByName(_small_groups(rest, keys, probabilities))
+
+
+def _large_groups(values: DataFrame, brackets: DataFrame, keys: list[str], probabilities: list[float]) -> DataFrame:
+    counts = _candidate_counts(values.filter("_value IS NOT NULL"), brackets, keys, probabilities)
+    return _interpolate(_values_at_ranks(counts, keys, probabilities), keys, probabilities)
 
 
 def _small_groups(values: DataFrame, keys: list[str], probabilities: list[float]) -> DataFrame:
@@ -88,7 +109,7 @@ def _brackets(values: DataFrame, keys: list[str], probabilities: list[float]) ->
     Sketches merge in two steps, so that the last task of a large group reads ``SALTS`` of them
     and not one per input split.
     """
-    partial = values.groupBy(*keys, (F.spark_partition_id() % SALTS).alias("_salt")).agg(
+    partial = values.filter("_value IS NOT NULL").groupBy(*keys, (F.spark_partition_id() % SALTS).alias("_salt")).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("_value").alias("low"),
         F.max("_value").alias("high"),
@@ -101,17 +122,18 @@ def _brackets(values: DataFrame, keys: list[str], probabilities: list[float]) ->
         F.kll_merge_agg_double("sketch", F.lit(SKETCH_K)).alias("sketch"),
     )
 
-    def bound(rank: float, edge: str):
+    def at(rank: float, edge: str) -> Column:
         if rank <= 0 or rank >= 1:
             return F.col(edge)
-        return F.kll_sketch_get_quantile_double("sketch", F.lit(rank))
+        wide = F.col("n") * MARGIN >= 5  # room for both neighbours of the quantile
+        return F.when(wide, F.kll_sketch_get_quantile_double("sketch", F.lit(rank))).otherwise(F.col(edge))
 
     ordered = sorted(probabilities)
     return merged.select(
         *keys,
         "n",
-        F.array(*[bound(p - MARGIN, "low") for p in ordered]).alias("lows"),
-        F.array(*[bound(p + MARGIN, "high") for p in ordered]).alias("highs"),
+        F.array(*[at(p - MARGIN, "low") for p in ordered]).alias("lows"),
+        F.array(*[at(p + MARGIN, "high") for p in ordered]).alias("highs"),
     )
 
 

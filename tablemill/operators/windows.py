@@ -64,6 +64,7 @@ def create_window_features(
             F.lag("_last").over(chunks).alias("_previous"),
             F.lead("_first").over(chunks).alias("_next"),
         )
+        carried = pin(carried, "chunk-edges")
         window = Window.partitionBy(*keys, "_chunk").orderBy(*order_cols)
         local = {f"{c}_{SUFFIXES[f]}": _ranked(c, f, window) for c, f in wanted}
         rows = join_on(part.withColumns({**local, "_at": F.row_number().over(window)}), carried, [*keys, "_chunk"])
@@ -109,7 +110,7 @@ def forward_fill(
         carried = last.withColumns(
             {f"_carry_{c}": F.last(f"_carry_{c}", ignorenulls=True).over(before) for c in names}
         )
-        filled = join_on(plain(part, [*keys, "_chunk"]), carried, [*keys, "_chunk"])
+        filled = join_on(plain(part, [*keys, "_chunk"]), pin(carried, "chunk-edges"), [*keys, "_chunk"])
         return filled.withColumns({c: F.coalesce(c, f"_carry_{c}") for c in names})
 
     return _run(df, partition_cols, order_cols, hot_rows, plain, chunked).select(*df.columns)

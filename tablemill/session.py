@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Rows a driver may hold when a small result (statistics, bounds) is pinned as literals.
 PIN_ROWS = 10_000
@@ -55,9 +56,10 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
 def pin(df: DataFrame, label: str = "pinned", max_rows: int = PIN_ROWS) -> DataFrame:
     """Compute a statistics table once, so that every task and every retry sees the same values.
 
-    Up to ``max_rows`` rows become a local relation; a larger table is written out instead.
+    Up to ``max_rows`` rows become a local table with a broadcast hint, as their number is known;
+    a larger table is written out, and the planner picks its joins by size.
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema)
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
     return materialize(df, label)

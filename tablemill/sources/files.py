@@ -96,15 +96,15 @@ def read_with_rejects(
 ) -> tuple[DataFrame, DataFrame]:
     """Parsed records, and those that do not fit ``schema`` with their raw text.
 
-    The rejects are stored in the shared folder at once; Spark does not let a query read the raw
-    text alone from the files.
+    The files are parsed once, into the shared folder: parsing text again for each side costs
+    more, and Spark lets no query read the raw text alone from the files.
     """
     defaults = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     if file_format == "csv":
         # A pruned scan would judge a record by the selected columns only.
         defaults |= {"header": True, "columnPruning": False}
     extended = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    records = spark.read.format(file_format).schema(extended).options(**{**defaults, **options}).load(path)
-    good = records.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = records.filter(F.col(CORRUPT).isNotNull()).withColumn("path", F.input_file_name())
-    return good, materialize(bad.withColumnRenamed(CORRUPT, "raw_record"), "rejects")
+    parsed = spark.read.format(file_format).schema(extended).options(**{**defaults, **options}).load(path)
+    records = materialize(parsed.withColumn("path", F.input_file_name()), "parsed")
+    good = records.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "path")
+    return good, records.filter(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "raw_record")
