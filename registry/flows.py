@@ -4,11 +4,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tablemill.operators.cleaning import apply_filters, clean_trips, prepare_trips
-from tablemill.plans.etl import run_flow
+from tablemill.operators.cleaning import apply_filters, clean_trips
+from tablemill.plans.etl import notebook_flow, run_flow
 from tablemill.plans.metrics import run_results_summary, transformation_summary
-from tablemill.plans.trips import dashboard, notebook_reports
-from tablemill.session import materialize, scratch_path
+from tablemill.plans.trips import DASHBOARD
+from tablemill.session import scratch_path
 
 from .common import TRIP_ORDER, WITH_PREPARED, WITH_TRIPS, round_doubles, table, trips
 from .features import DATE_PARTS
@@ -19,6 +19,13 @@ WITH_FLOW = f"""{WITH_TRIPS}, distinct_trips AS (SELECT DISTINCT * FROM trips),
         FROM distinct_trips WHERE passenger_count > 0 AND passenger_count <= 8)"""
 
 
+STORED_COLUMNS = [
+    *("trip_id", "pickup_datetime", "dropoff_datetime", "vendor_id", "passenger_count", "trip_distance", "fare_amount"),
+    *("tip_amount", "total_amount", "payment_type", "pickup_location", "dropoff_location", "speed_mph"),
+    *("year", "month", "day", "hour", "minute", "quarter", "dayofweek", "is_weekend"),
+]
+
+
 def _flow(spark, sf):
     return run_flow(spark, trips(spark, sf), f"flow_{uuid.uuid4().hex}", scratch_path(spark, "flow"))
 
@@ -65,7 +72,15 @@ def _run_results_sql(expression, name):
 def _dashboard(panel):
     def query(spark, sf):
         filtered = apply_filters(trips(spark, sf), vendors=[1, 2], passengers=(1, 6))
-        return round_doubles(dashboard(clean_trips(filtered, TRIP_ORDER))[panel])
+        return round_doubles(DASHBOARD[panel](clean_trips(filtered, TRIP_ORDER)))
+
+    return query
+
+
+def _notebook(report):
+    def query(spark, sf):
+        reports = notebook_flow(spark, trips(spark, sf), TRIP_ORDER, scratch_path(spark, "notebook"))
+        return round_doubles(reports[report])
 
     return query
 
@@ -91,7 +106,15 @@ CASES = {
             UNION ALL SELECT 'transform', a, b, round((b - a) / a * 100, 6) FROM n
             UNION ALL SELECT 'db_load', b, b, 0 FROM n""",
     ),
-    "etl_quality": (_quality, None),
+    "etl_quality": (
+        _quality,
+        f"{WITH_FLOW} "
+        + " UNION ALL ".join(
+            f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE {c} IS NULL) AS missing_count, count(*) AS total_rows,
+            count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM stored)) AS duplicate_rows FROM stored"""
+            for c in STORED_COLUMNS
+        ),
+    ),
     "run_results_by_source": (_run_results("source"), _run_results_sql("event_type", "source")),
     "run_results_by_day": (_run_results("timestamp"), _run_results_sql("CAST(ts AS DATE)", '"timestamp"')),
     "dashboard_vendors": (
@@ -102,7 +125,7 @@ CASES = {
             round(avg(speed_mph), 2) AS avg_speed, round(avg(tip_amount), 2) AS avg_tip FROM kept GROUP BY vendor_id""",
     ),
     "notebook_vendor_summary": (
-        lambda spark, sf: notebook_reports(materialize(prepare_trips(trips(spark, sf), TRIP_ORDER)))["vendor_summary"],
+        _notebook("vendor_summary"),
         f"""{WITH_PREPARED} SELECT vendor_id, count(trip_id) AS trips, round(sum(total_amount), 2) AS total_revenue,
             round(avg(total_amount), 2) AS avg_revenue, round(avg(fare_amount), 2) AS avg_fare,
             round(avg(trip_distance), 2) AS avg_distance, round(avg(passenger_count), 2) AS avg_passengers,

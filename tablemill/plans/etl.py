@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cleaning import MAX_PASSENGERS, handle_missing_values, remove_duplicates
+from ..operators.cleaning import MAX_PASSENGERS, handle_missing_values, prepare_trips, remove_duplicates
 from ..operators.features import create_first_date_features
 from ..operators.profiling import quality_report, validate_data
 from ..session import materialize
+from ..sinks.files import export_csv, export_json
 from ..sinks.tables import load_dataframe
 from ..sources.files import load_csv_from_s3, load_data
 from .metrics import StepLog, run_report
+from .trips import NOTEBOOK, run_reports
 
 
 @dataclass
@@ -76,3 +79,19 @@ def run_flow(
 def object_store_to_table(spark: SparkSession, bucket: str, key: str, table: str, **options: object) -> DataFrame:
     """CSV from the object store, distinct rows, full load; returns the load statistics."""
     return load_dataframe(remove_duplicates(load_csv_from_s3(spark, bucket, key, **options)), table)
+
+
+def notebook_flow(
+    spark: SparkSession, source: DataFrame | str, order_by: Sequence[str], out: str, **options: object
+) -> dict[str, DataFrame]:
+    """Load trips, prepare them, export trips, metrics and vendor summary below ``out``; return all reports.
+
+    The prepared trips are exported once; the reports read a stored copy.
+    """
+    df = load_data(spark, source, **options) if isinstance(source, str) else source
+    prepared = materialize(prepare_trips(df, order_by), "prepared")
+    reports = run_reports(prepared, NOTEBOOK)
+    export_csv(prepared, f"{out}/transformed_data.csv")
+    export_json(reports["metrics"], f"{out}/metrics.json")
+    export_csv(reports["vendor_summary"], f"{out}/vendor_summary.csv")
+    return reports

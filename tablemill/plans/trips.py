@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar_date, is_missing, label_text, rounded, route_label, tip_rate
 from ..operators.aggregates import crosstab, grouped_measure, histogram, histogram_by_group, sort_limit, value_counts
-from ..sources.tables import cached
 
 
 def statistics(df: DataFrame) -> DataFrame:
@@ -178,44 +179,46 @@ def performance_report(df: DataFrame, filtered: DataFrame) -> DataFrame:
     )
 
 
-def dashboard(trips: DataFrame, rows: int = 50) -> dict[str, DataFrame]:
-    """Every panel over one cached, already filtered table; unpersist ``panels["trips"]`` when done."""
-    shared = cached(trips)
-    return {
-        "trips": shared,
-        "headline": headline(shared),
-        "rows": sort_limit(shared, "pickup_datetime", "trip_id", rows),
-        "vendor_aggregates": vendor_aggregates(shared),
-        "statistics": statistics(shared),
-        "revenue_by_vendor": revenue_by_vendor(shared),
-        "fare_by_passengers": fare_by_passengers(shared),
-        "payment_counts": payment_counts(shared),
-        "vendor_counts": vendor_counts(shared),
-        "first_routes": first_routes(shared),
-        "daily_trips": daily_trips(shared),
-        "vendor_passenger_table": vendor_passenger_table(shared),
-        "distribution": distribution(shared),
-        "speed_by_vendor": speed_by_vendor(shared),
-        "vendor_performance": vendor_performance(shared),
-        "distance_histogram": histogram(shared, "trip_distance", 30),
-        "fare_histogram": histogram(shared, "fare_amount", 30),
-        "speed_histogram": histogram(shared, "speed_mph", 25),
-    }
-
-
-def notebook_reports(prepared: DataFrame) -> dict[str, DataFrame]:
-    """Every report over a table made by ``prepare_trips``."""
-    return {
-        "metrics": full_metrics(prepared),
-        "vendor_counts": vendor_counts(prepared, by_key=True),
-        "revenue_by_vendor": revenue_by_vendor(prepared, by_key=True),
-        "distance_histogram": histogram(prepared, "trip_distance", 50),
-        "fare_histogram": histogram(prepared, "fare_amount", 50),
-        "trips_by_hour": trips_by_hour(prepared),
-        "payment_counts": payment_counts(prepared),
-        "fare_by_passengers": fare_by_passengers(prepared),
-        "weekend_comparison": weekend_comparison(prepared),
-        "top_routes": top_routes(prepared),
-        "speed_histogram_by_vendor": histogram_by_group(prepared, "speed_mph", ["vendor_id"], 30),
-        "vendor_summary": vendor_summary(prepared),
-    }
+def run_reports(
+    df: DataFrame, reports: Mapping[str, Callable[[DataFrame], DataFrame]]
+) -> dict[str, DataFrame]:
+    """Apply several reports to one table. Pass a stored or ``cached`` table: each report reads it."""
+    return {name: report(df) for name, report in reports.items()}
+
+
+# The panels over filtered trips.
+DASHBOARD: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "headline": headline,
+    "rows": lambda df: sort_limit(df, "pickup_datetime", "trip_id"),
+    "vendor_aggregates": vendor_aggregates,
+    "statistics": statistics,
+    "revenue_by_vendor": revenue_by_vendor,
+    "fare_by_passengers": fare_by_passengers,
+    "payment_counts": payment_counts,
+    "vendor_counts": vendor_counts,
+    "first_routes": first_routes,
+    "daily_trips": daily_trips,
+    "vendor_passenger_table": vendor_passenger_table,
+    "distribution": distribution,
+    "speed_by_vendor": speed_by_vendor,
+    "vendor_performance": vendor_performance,
+    "distance_histogram": lambda df: histogram(df, "trip_distance", 30),
+    "fare_histogram": lambda df: histogram(df, "fare_amount", 30),
+    "speed_histogram": lambda df: histogram(df, "speed_mph", 25),
+}
+
+# The reports over trips made by ``prepare_trips``.
+NOTEBOOK: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "metrics": full_metrics,
+    "vendor_counts": lambda df: vendor_counts(df, by_key=True),
+    "revenue_by_vendor": lambda df: revenue_by_vendor(df, by_key=True),
+    "distance_histogram": lambda df: histogram(df, "trip_distance", 50),
+    "fare_histogram": lambda df: histogram(df, "fare_amount", 50),
+    "trips_by_hour": trips_by_hour,
+    "payment_counts": payment_counts,
+    "fare_by_passengers": fare_by_passengers,
+    "weekend_comparison": weekend_comparison,
+    "top_routes": top_routes,
+    "speed_histogram_by_vendor": lambda df: histogram_by_group(df, "speed_mph", ["vendor_id"], 30),
+    "vendor_summary": vendor_summary,
+}

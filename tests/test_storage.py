@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
+from registry.common import TRIP_ORDER
+from registry.common import trips as load_trips
 from tablemill import session
 from tablemill.plans import etl, metrics, trips
 from tablemill.sinks import files as X
@@ -197,11 +199,19 @@ def test_a_flow_from_a_file(spark, tmp_path):
 
 
 def test_every_panel_runs(spark, sf):
-    from registry.common import trips as load
-
-    panels = trips.dashboard(load(spark, sf))
+    shared = B.cached(load_trips(spark, sf))
     try:
-        for name, panel in panels.items():
+        for name, panel in trips.run_reports(shared, trips.DASHBOARD).items():
             assert panel.count() > 0, name
     finally:
-        panels["trips"].unpersist()
+        shared.unpersist()
+
+
+def test_notebook_flow_exports(spark, sf, tmp_path):
+    reports = etl.notebook_flow(spark, load_trips(spark, sf), TRIP_ORDER, str(tmp_path))
+    for name, report in reports.items():
+        assert report.count() > 0, name
+    rides = reports["metrics"].first()["total_trips"]
+    assert S.load_data(spark, str(tmp_path / "transformed_data.csv")).count() == rides
+    back = S.load_data(spark, str(tmp_path / "metrics.json"), multiLine=False).first()
+    assert back["total_trips"] == rides and back["weekend_trips"] + back["weekday_trips"] == rides
