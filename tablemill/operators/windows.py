@@ -1,15 +1,18 @@
 """Ordered features within a partition: lag, lead, row number, rank, forward fill, rolling average.
 
 A plain window sorts each partition in one task. A partition above ``hot_rows`` is therefore cut
-into chunks by ranges of its first order column. Each chunk runs its own window, and one row per
-chunk carries the offset, or the value at the edge, over to the next. Equal order values share a
-chunk, so ranks stay right.
+into chunks by ranges of its first order column; a single value of that column above ``hot_rows``
+is cut again by the next one. Each chunk runs its own window, and one row per chunk carries the
+offset, or the value at the edge, over to the next. Rows with equal order values share a chunk, so
+ranks stay right.
 """
 
 from __future__ import annotations
 
 import math
+import operator
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -168,7 +171,7 @@ def _run(df, partition_cols, order_cols, hot_rows, plain, chunked) -> DataFrame:
     if total is None:
         return plain(df, keys)
     hot = hot.drop("_n")
-    part = _with_chunks(match_rows(df, hot, keys, "left_semi"), order_cols[0], math.ceil(total / hot_rows))
+    part = _with_chunks(match_rows(df, hot, keys, "left_semi"), keys, order_cols, hot_rows, total)
     kept = [c for c in df.columns if c not in keys]
     result = chunked(part, keys).drop("_chunk")
     if keys == ["_all"]:
@@ -177,14 +180,43 @@ def _run(df, partition_cols, order_cols, hot_rows, plain, chunked) -> DataFrame:
     return cold.unionByName(result.select(*cold.columns)) if kept else cold
 
 
-def _with_chunks(df: DataFrame, order_col: str, chunks: int) -> DataFrame:
-    """Add ``_chunk``, a number that never falls as ``order_col`` rises, with about equal counts."""
+def _with_chunks(
+    df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], hot_rows: int, total: int
+) -> DataFrame:
+    """Add ``_chunk``, a struct that never falls along ``order_cols``, with about equal counts."""
+    parts: list[str] = []
+    tied = F.lit(True)  # rows that agree with a hot value in every order column so far
+    for level, name in enumerate(order_cols):
+        df = _with_ranges(df, name, f"_range_{level}", tied, math.ceil(total / hot_rows))
+        parts.append(f"_range_{level}")
+        prefix = dict.fromkeys([*keys, *order_cols[: level + 1]])
+        counts = df.filter(tied).groupBy(*prefix).agg(F.count(F.lit(1)).alias("_n"))
+        limit = max(hot_rows, total // MAX_CHUNKS)
+        hot = counts.filter(F.col("_n") > limit).collect()  # at most MAX_CHUNKS rows
+        if not hot or level == len(order_cols) - 1:
+            break
+        total = sum(row["_n"] for row in hot)
+        found = {row[name] for row in hot}
+        kind = df.schema[name].dataType
+        values = F.array(*[_typed(v, kind) for v in found if v is not None]).cast(T.ArrayType(kind))
+        value, null_is_hot = F.col(name), None in found
+        present = value.isNotNull()
+        below = F.size(F.filter(values, partial(operator.gt, value))) + int(null_is_hot)
+        equal = F.when(present, F.array_contains(values, value)).otherwise(null_is_hot)
+        df = df.withColumns({f"_below_{level}": F.when(present, below).otherwise(0), f"_equal_{level}": tied & equal})
+        parts += [f"_below_{level}", f"_equal_{level}"]
+        tied = F.col(f"_equal_{level}")
+    return df.withColumn("_chunk", F.struct(*parts)).drop(*parts)
+
+
+def _with_ranges(df: DataFrame, order_col: str, output: str, scope: Column, chunks: int) -> DataFrame:
+    """Add the number of the range that holds ``order_col``; rows outside ``scope`` get 0."""
     chunks = min(chunks, MAX_CHUNKS)
     placed = df.withColumn("_position", F.coalesce(_position(df, order_col), F.lit(float("-inf"))))
     finite = F.col("_position").between(-1.7e308, 1.7e308)
     size = min(65_535, max(1024, 8 * chunks))
     sketches = (
-        placed.filter(finite)
+        placed.filter(scope & finite)
         .groupBy((F.spark_partition_id() % SALTS).alias("_salt"))
         .agg(F.kll_sketch_agg_double("_position", F.lit(size)).alias("_sketch"))
     )
@@ -193,9 +225,15 @@ def _with_chunks(df: DataFrame, order_col: str, chunks: int) -> DataFrame:
     found = merged.select(F.kll_sketch_get_quantile_double("_sketch", ranks)).first()[0] if chunks > 1 else []
     splits = [float("-inf"), *sorted(set(found or [])), float("inf")]
     if len(splits) == 2:
-        return placed.withColumn("_chunk", F.lit(0.0)).drop("_position")
-    bucketizer = Bucketizer(splits=splits, inputCol="_position", outputCol="_chunk", handleInvalid="keep")
-    return bucketizer.transform(placed).drop("_position")
+        return placed.withColumn(output, F.lit(0.0)).drop("_position")
+    bucketizer = Bucketizer(splits=splits, inputCol="_position", outputCol="_bucket", handleInvalid="keep")
+    ranged = bucketizer.transform(placed)
+    return ranged.withColumn(output, F.when(scope, F.col("_bucket")).otherwise(0.0)).drop("_position", "_bucket")
+
+
+def _typed(value: object, kind: T.DataType) -> Column:
+    # A Python datetime would become a timestamp with time zone.
+    return F.lit(str(value) if isinstance(kind, T.TimestampNTZType) else value).cast(kind)
 
 
 def _position(df: DataFrame, name: str) -> Column:

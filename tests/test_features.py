@@ -52,6 +52,25 @@ def test_hot_rolling_average(uneven, preceding):
     same(average(40), average(10**9))
 
 
+@pytest.mark.parametrize("order", [["a", "event_id"], ["a", "b", "event_id"], ["t", "event_id"], ["f", "event_id"], ["z", "event_id"]])
+def test_one_hot_order_value(events, order):
+    """Most rows of a partition agree in one order column, or in two; NULL and NaN may be the hot value."""
+    tied = events.select(
+        "event_id",
+        F.when(F.col("event_type") == "view", 1).when(F.col("event_type") == "click", 9).when(F.col("event_id") % 2 > 0, 5).alias("a"),
+        F.when(F.col("user_id") % 4 > 0, F.lit("same prefix 1")).otherwise(F.concat(F.lit("same prefix "), "user_id")).alias("b"),
+        F.date_trunc("month", "ts").cast("timestamp_ntz").alias("t"),
+        F.when(F.col("user_id") % 3 > 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("f"),
+        F.when(F.col("user_id") % 5 == 0, F.col("event_id").cast("decimal(20,2)")).alias("z"),
+        F.when(F.col("event_type") != "error", F.col("value")).alias("x"),
+    )
+    split = W.create_window_features(tied, [], order, ALL, hot_rows=30)
+    same(split, W.create_window_features(tied, [], order, ALL))
+    parts = W._with_chunks(tied.withColumn("_all", F.lit(0)), ["_all"], order, 30, tied.count())
+    assert parts.groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 120
+    same(W.forward_fill(tied, order, [], ["x"], hot_rows=30), W.forward_fill(tied, order, [], ["x"]))
+
+
 def test_ranks_with_ties_across_chunks(uneven):
     same(W.create_window_features(uneven, ["k"], ["d"], {"d": "rank"}, hot_rows=20), W.create_window_features(uneven, ["k"], ["d"], {"d": "rank"}))
 
