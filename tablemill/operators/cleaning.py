@@ -90,9 +90,12 @@ def handle_missing_values(
 
 
 def _with_missing(df: DataFrame, columns: list[str]) -> list[str]:
-    """The columns with at least one missing cell; the others need no statistics."""
-    if not columns:
-        return []
+    """The columns with at least one missing cell; the others need no statistics.
+
+    A single floating-point column skips this pass: filling it cannot change its type.
+    """
+    if not columns or (len(columns) == 1 and isinstance(df.schema[columns[0]].dataType, FLOATING)):
+        return columns
     counts = df.agg(*[missing_count(df, c).alias(c) for c in columns]).first()
     return [c for c in columns if counts[c]]
 
