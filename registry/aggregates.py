@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tablemill.operators import aggregates as A
+from tablemill.operators.quantiles import exact_quantiles
 
 from .common import WITH_TRIPS, round_doubles, table, trips
 
@@ -55,6 +56,19 @@ def _percentile(spark, sf):
     return round_doubles(made, 4)
 
 
+def _quantiles_of_large_groups(spark, sf):
+    """The bracket method for every group above a thousand values."""
+    lines = table(spark, sf, "lineitem")
+    found = exact_quantiles(lines, ["l_extendedprice", "l_quantity"], [0.1, 0.5, 0.9], ["l_returnflag"], small_group=1000)
+    parts = [F.round(F.col("quantiles")[i], 4).alias(name) for i, name in enumerate(("p10", "p50", "p90"))]
+    return found.select("l_returnflag", "column", "n", *parts)
+
+
+def _large_groups_sql(name):
+    quantiles = ", ".join(f"round(quantile_cont({name}, {p / 100}), 4) AS p{p}" for p in (10, 50, 90))
+    return f"""SELECT l_returnflag, '{name}' AS "column", count({name}) AS n, {quantiles} FROM lineitem GROUP BY l_returnflag"""
+
+
 def _histogram(column, bins):
     return lambda spark, sf: round_doubles(A.histogram(trips(spark, sf), column, bins), 6)
 
@@ -94,6 +108,10 @@ CASES = {
            round(quantile_cont(l_extendedprice, 0.75), 4) AS p75, round(quantile_cont(l_extendedprice, 0.29), 4) AS p29
            FROM lineitem GROUP BY l_returnflag""",
     ),
+    "quantiles_large_groups": (
+        _quantiles_of_large_groups,
+        " UNION ALL ".join(map(_large_groups_sql, ("l_extendedprice", "l_quantity"))),
+    ),
     **{f"pivot_{f}": (_pivot(f), _pivot_sql(f)) for f in ("sum", "avg", "count", "min", "max")},
     "crosstab": (
         lambda spark, sf: A.crosstab(trips(spark, sf), "vendor_id", "passenger_count"),

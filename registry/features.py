@@ -103,6 +103,31 @@ CASES = {
         """SELECT *, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND CURRENT ROW), 6)
            AS value_rolling_avg FROM events""",
     ),
+    "win_rolling_hot": (
+        lambda spark, sf: rolling_average(
+            table(spark, sf, "events"), "value", ["event_type"], ["ts", "event_id"], 5, hot_rows=500
+        ).withColumn("value_rolling_avg", F.round("value_rolling_avg", 6)),
+        """SELECT *, round(avg(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 5 PRECEDING AND CURRENT ROW), 6)
+           AS value_rolling_avg FROM events""",
+    ),
+    "win_tied_order": (
+        lambda spark, sf: create_window_features(
+            table(spark, sf, "lineitem").select("l_returnflag", "l_linenumber", "l_quantity", "l_orderkey"),
+            ["l_returnflag"],
+            ["l_linenumber", "l_quantity"],
+            {"l_quantity": "rank"},
+            hot_rows=500,
+        ),
+        """SELECT l_returnflag, l_linenumber, l_quantity, l_orderkey,
+           CAST(rank() OVER (PARTITION BY l_returnflag ORDER BY l_linenumber, l_quantity) AS INTEGER) AS l_quantity_rank FROM lineitem""",
+    ),
+    "label_encode_many": (
+        lambda spark, sf: create_categorical_features(
+            table(spark, sf, "customer").select("c_custkey", "c_name"), "c_name", "label"
+        ),
+        """SELECT c_custkey, c_name, CAST(i AS DOUBLE) AS c_name_encoded FROM customer JOIN
+           (SELECT c_name, row_number() OVER (ORDER BY count(*) DESC, c_name) - 1 AS i FROM customer GROUP BY c_name) USING (c_name)""",
+    ),
     "label_encode": (
         lambda spark, sf: create_categorical_features(table(spark, sf, "events"), "event_type", "label"),
         f"WITH {LABELS} SELECT events.*, CAST(i AS DOUBLE) AS event_type_encoded FROM events JOIN labels_of USING (event_type)",

@@ -143,12 +143,13 @@ def _inventory(spark, sf):
     return files.select(F.element_at(F.split("path", "/"), -1).alias("file"))
 
 
+REGION_SQL = """SELECT r_name, count(*) AS customers, round(avg(c_acctbal), 2) AS avg_balance
+    FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey GROUP BY r_name"""
+
+
 def _sql(spark, sf):
-    return execute_query(
-        spark,
-        "SELECT r_name, count(*) AS nations FROM check_nation JOIN check_region ON n_regionkey = r_regionkey GROUP BY r_name",
-        {"check_nation": table(spark, sf, "nation"), "check_region": table(spark, sf, "region")},
-    )
+    views = {f"check_{name}": table(spark, sf, name) for name in ("customer", "nation", "region")}
+    return execute_query(spark, REGION_SQL.format(customer="check_customer", nation="check_nation", region="check_region"), views)
 
 
 def _sql_limit(spark, sf):
@@ -162,10 +163,7 @@ CASES = {
         lambda spark, sf: read_table(spark, _store(spark, table(spark, sf, "supplier"), "scan")[0]),
         "SELECT * FROM supplier",
     ),
-    "sql_passthrough": (
-        _sql,
-        "SELECT r_name, count(*) AS nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name",
-    ),
+    "sql_passthrough": (_sql, REGION_SQL.format(customer="customer", nation="nation", region="region")),
     "sql_limit": (_sql_limit, "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25"),
     "csv_roundtrip": (_csv, "SELECT * FROM documents"),
     "csv_inferred": (_csv_inferred, "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem"),

@@ -25,6 +25,7 @@ from ..functions.columns import FLOATING
 from ..session import materialize
 from .quantiles import exact_quantiles
 
+# The trip key, the columns a trip must have, the passenger limit.
 TRIP_KEY = ["trip_id"]
 TRIP_REQUIRED = ["pickup_datetime", "vendor_id", "passenger_count"]
 MAX_PASSENGERS = 8
@@ -199,7 +200,7 @@ def convert_types(df: DataFrame) -> DataFrame:
     """Both trip times to timestamp (text only; timestamps pass through) and passengers to int."""
     times = [c for c in ("pickup_datetime", "dropoff_datetime") if c in string_columns(df)]
     return df.withColumns(
-        {**{c: parse_timestamp(c) for c in times}, "passenger_count": F.col("passenger_count").cast("int")}
+        {**{c: parse_timestamp(c) for c in times}, "passenger_count": F.col("passenger_count").try_cast("int")}
     )
 
 

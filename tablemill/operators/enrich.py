@@ -95,6 +95,7 @@ def add_columns(df: DataFrame, expressions: Mapping[str, Column]) -> DataFrame:
     return df.withColumns(dict(expressions))
 
 
+# Column names and penalties of the standard customer table.
 CUSTOMER_NAMES = {
     "name": "customer_name",
     "email": "email_address",
@@ -103,6 +104,7 @@ CUSTOMER_NAMES = {
     "address": "full_address",
     "amount": "transaction_amount",
 }
+IMPUTED_PENALTY, MISSING_ADDRESS_PENALTY, ZERO_AMOUNT_PENALTY = 2, 10, 5
 
 
 def standardize_customers(df: DataFrame, processed_date: Column) -> DataFrame:
@@ -123,9 +125,9 @@ def standardize_customers(df: DataFrame, processed_date: Column) -> DataFrame:
         }
     )
     penalties = {
-        "imputed": (F.col("imputed_cells") > 0, 2),
-        "missing address": (F.col("address").isNull(), 10),
-        "zero amount": (F.col("amount") == 0, 5),
+        "imputed": (F.col("imputed_cells") > 0, IMPUTED_PENALTY),
+        "missing address": (F.col("address").isNull(), MISSING_ADDRESS_PENALTY),
+        "zero amount": (F.col("amount") == 0, ZERO_AMOUNT_PENALTY),
     }
     scored = quality_score(normalized, penalties).drop("imputed_cells")
     kept = [c for c in scored.columns if c not in ("processed_date", "data_quality_score")]

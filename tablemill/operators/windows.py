@@ -27,6 +27,7 @@ HOT_ROWS = 10_000_000  # rows of one partition that one task may sort
 MAX_CHUNKS = 4096
 SALTS = 256
 
+# Output names.
 SUFFIXES = {"lag": "lag1", "lead": "lead1", "row_number": "row_num", "rank": "rank"}
 
 

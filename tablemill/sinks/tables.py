@@ -153,12 +153,26 @@ def column_types(schema: T.StructType) -> str:
     return ", ".join(f"{f.name} {sql_type(f.dataType)}" for f in schema.fields)
 
 
+def create_table_sql(table: str, schema: T.StructType) -> str:
+    return f"CREATE TABLE {table} ({column_types(schema)})"
+
+
+def text_types(schema: T.StructType) -> str:
+    """Text columns for ``createTableColumnTypes``, which takes Spark type names only.
+
+    The other columns get the dialect's own types, the same ones as in ``SQL_TYPES``.
+    """
+    return ", ".join(f"`{f.name}` {sql_type(f.dataType)}" for f in schema.fields if isinstance(f.dataType, T.StringType))
+
+
 def write_jdbc(
     df: DataFrame, table: str, options: Mapping[str, str], mode: str = "overwrite", batch_size: int = 10_000
 ) -> None:
     """Batched inserts from all tasks; each task commits its own transaction."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    df.write.format("jdbc").options(**options).options(
-        dbtable=table, batchsize=str(batch_size), createTableColumnTypes=column_types(df.schema)
-    ).mode(mode).save()
+    writer = df.write.format("jdbc").options(**options).options(dbtable=table, batchsize=str(batch_size))
+    text = text_types(df.schema)
+    if text:
+        writer = writer.option("createTableColumnTypes", text)
+    writer.mode(mode).save()

@@ -95,7 +95,9 @@ def test_column_types():
         "VARCHAR(255)", "SMALLINT", "SMALLINT", "INTEGER", "BIGINT", "REAL", "DOUBLE PRECISION", "BOOLEAN", "TIMESTAMP",
         "DATE", "DECIMAL(12,3)", "VARCHAR(255)", "INTERVAL",
     ]
-    assert K.column_types(T.StructType.fromDDL("a int, b decimal(5,1)")) == "a INTEGER, b DECIMAL(5,1)"
+    assert K.create_table_sql("t", T.StructType.fromDDL("a int, b decimal(5,1)")) == "CREATE TABLE t (a INTEGER, b DECIMAL(5,1))"
+    assert K.text_types(schema) == "`a` VARCHAR(255)"
+    T.StructType.fromDDL(K.text_types(schema))  # Spark must be able to read it
 
 
 def test_loads_report_counts_and_failures(spark, sample, tmp_path):
