@@ -88,12 +88,12 @@ CASES = {
     "numeric_features_abs": (_numeric(True), _numeric_sql("abs(q)")),
     "win_lag": (_window("lag"), _window_sql("lag(value)", "value_lag1")),
     "win_lead": (_window("lead"), _window_sql("lead(value)", "value_lead1")),
-    "win_row_number": (_window("row_number"), _window_sql("CAST(row_number()", "value_row_num").replace(" AS value_row_num", " AS INTEGER) AS value_row_num")),
-    "win_rank": (_window("rank"), _window_sql("CAST(rank()", "value_rank").replace(" AS value_rank", " AS INTEGER) AS value_rank")),
+    "win_row_number": (_window("row_number"), _window_sql("row_number()", "value_row_num")),
+    "win_rank": (_window("rank"), _window_sql("rank()", "value_rank")),
     "win_hot_partitions": (
         _window_hot,
         """SELECT *, lag(value) OVER w AS value_lag1, lead(value) OVER w AS value_lead1,
-           CAST(row_number() OVER w AS INTEGER) AS value_row_num, CAST(rank() OVER w AS INTEGER) AS value_rank
+           row_number() OVER w AS value_row_num, rank() OVER w AS value_rank
            FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)""",
     ),
     "win_rolling_avg": (
@@ -119,7 +119,7 @@ CASES = {
             hot_rows=500,
         ),
         """SELECT l_returnflag, l_linenumber, l_quantity, l_orderkey,
-           CAST(rank() OVER (PARTITION BY l_returnflag ORDER BY l_linenumber, l_quantity) AS INTEGER) AS l_quantity_rank FROM lineitem""",
+           rank() OVER (PARTITION BY l_returnflag ORDER BY l_linenumber, l_quantity) AS l_quantity_rank FROM lineitem""",
     ),
     "label_encode_many": (
         lambda spark, sf: create_categorical_features(

@@ -22,11 +22,11 @@ def strip_whitespace(text: Column | str) -> Column:
 
 def normalize_whitespace(text: Column | str) -> Column:
     """Strip both ends and collapse inner runs of whitespace to one blank."""
-    return F.regexp_replace(strip_whitespace(text), r"\s+", " ")
+    return F.regexp_replace(strip_whitespace(text), f"[{WHITESPACE}]+", " ")
 
 
 def strip_special(text: Column | str) -> Column:
-    return F.regexp_replace(as_column(text), "[^a-zA-Z0-9 ]", "")
+    return F.regexp_replace(as_column(text), "[^a-zA-Z0-9 ]+", "")
 
 
 def normalize_status(text: Column | str) -> Column:

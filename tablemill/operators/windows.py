@@ -79,7 +79,7 @@ def create_window_features(
                 return F.when(F.col("_at") == 1, F.col("_previous")[column]).otherwise(value)
             if name == "lead":
                 return F.when(F.col("_at") == F.col("_rows"), F.col("_next")[column]).otherwise(value)
-            return (value + F.col("_offset")).cast("int")
+            return value + F.col("_offset")
 
         return rows.withColumns({f"{c}_{SUFFIXES[f]}": stitched(c, f) for c, f in wanted})
 
@@ -157,7 +157,8 @@ def _ranked(column: str, name: str, window) -> Column:
         return F.lag(column).over(window)
     if name == "lead":
         return F.lead(column).over(window)
-    return (F.row_number() if name == "row_number" else F.rank()).over(window)
+    number = F.row_number() if name == "row_number" else F.rank()
+    return number.over(window).cast("long")  # a hot partition may hold more rows than an int counts
 
 
 def _run(df, partition_cols, order_cols, hot_rows, plain, chunked) -> DataFrame:
@@ -173,12 +174,11 @@ def _run(df, partition_cols, order_cols, hot_rows, plain, chunked) -> DataFrame:
         return plain(df, keys)
     hot = hot.drop("_n")
     part = _with_chunks(match_rows(df, hot, keys, "left_semi"), keys, order_cols, hot_rows, total)
-    kept = [c for c in df.columns if c not in keys]
     result = chunked(part, keys).drop("_chunk")
     if keys == ["_all"]:
         return result
     cold = plain(match_rows(df, hot, keys, "left_anti"), keys)
-    return cold.unionByName(result.select(*cold.columns)) if kept else cold
+    return cold.unionByName(result.select(*cold.columns))
 
 
 def _with_chunks(

@@ -75,6 +75,11 @@ def test_ranks_with_ties_across_chunks(uneven):
     same(W.create_window_features(uneven, ["k"], ["d"], {"d": "rank"}, hot_rows=20), W.create_window_features(uneven, ["k"], ["d"], {"d": "rank"}))
 
 
+def test_rows_that_are_all_key(uneven):
+    keys = uneven.select("k")
+    same(W.create_window_features(keys, ["k"], ["k"], {"k": "rank"}, hot_rows=40), W.create_window_features(keys, ["k"], ["k"], {"k": "rank"}))
+
+
 def test_no_window_runs_in_a_single_task(uneven):
     text = plan(W.forward_fill(uneven, ["ts"], columns=["x"], hot_rows=40))
     assert "SinglePartition" not in text and "BroadcastHashJoin" in text and "_chunk" in text
