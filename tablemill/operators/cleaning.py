@@ -22,7 +22,7 @@ from ..functions import (
     strip_whitespace,
 )
 from ..functions.columns import FLOATING
-from ..session import materialize
+from ..session import materialize, observed_rows
 from .quantiles import exact_quantiles
 
 # The trip key, the columns a trip must have, the passenger limit.
@@ -236,7 +236,7 @@ def clean_data(df: DataFrame, order_by: Sequence[str]) -> tuple[DataFrame, DataF
     before, after = Observation("before"), Observation("after")
     count = F.count(F.lit(1)).alias("n")
     cleaned = materialize(clean_trips(df.observe(before, count), order_by).observe(after, count), "clean")
-    return cleaned, removal_counts(df.sparkSession, before.get["n"], after.get["n"])
+    return cleaned, removal_counts(df.sparkSession, observed_rows(before), observed_rows(after))
 
 
 def removal_counts(spark, before: int, after: int) -> DataFrame:

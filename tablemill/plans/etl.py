@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.cleaning import MAX_PASSENGERS, handle_missing_values, prepare_trips, remove_duplicates
 from ..operators.features import create_first_date_features
 from ..operators.profiling import quality_report, validate_data
-from ..session import materialize
+from ..session import materialize, observed_rows
 from ..sinks.files import export_csv, export_json
 from ..sinks.tables import load_dataframe
 from ..sources.files import load_csv_from_s3, load_data
@@ -58,7 +58,7 @@ def run_flow(
             rows = Observation("rows in")
             counted = df.observe(rows, F.count(F.lit(1)).alias("n"))
             clean = transform(materialize(remove_duplicates(counted), "distinct"))
-            loaded.rows_in = loaded.rows_out = transformed.rows_in = rows.get["n"]
+            loaded.rows_in = loaded.rows_out = transformed.rows_in = observed_rows(rows)
         with log.step("db_load") as stored:
             result.load_stats = load_dataframe(clean, table, "overwrite", path)
             stats = result.load_stats.first()

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Rows a driver may hold when a small result (statistics, bounds) is pinned as literals.
@@ -63,3 +64,11 @@ def pin(df: DataFrame, label: str = "pinned", max_rows: int = PIN_ROWS) -> DataF
     if len(rows) <= max_rows:
         return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
     return materialize(df, label)
+
+
+def observed_rows(observation: Observation) -> int:
+    """The ``n`` an observation counted. Spark drops the counter when a table proves empty: that is 0."""
+    try:
+        return observation.get["n"]
+    except (Py4JJavaError, KeyError):
+        return 0

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import observed_rows
+
 MODES = ("overwrite", "append")
 
 LOAD_STATS = (
@@ -55,7 +57,7 @@ def load_dataframe(
         writer = df.observe(rows, F.count(F.lit(1)).alias("n")).write.mode(mode).format(file_format)
         (writer.option("path", path) if path else writer).saveAsTable(table)
         verified = verify_load(spark, table)
-        loaded = rows.get["n"]
+        loaded = observed_rows(rows)
         complete = verified == before + loaded
         status = "SUCCESS" if complete else "FAILED"
         message = "row counts agree" if complete else f"expected {before + loaded} rows, found {verified}"

@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
+from registry.common import TRIP_ORDER
+from registry.common import trips as load_trips
 from tablemill.operators import cleaning as C
 from tablemill.operators.outliers import remove_outliers
 
@@ -149,6 +151,19 @@ def test_clean_data_counts(spark):
     assert tuple(C.removal_counts(spark, 0, 0).first()) == (0, 0, 0, 0.0, 0.0)
 
 
+@pytest.mark.parametrize("keep", ["false", "passenger_count > 100"])
+def test_clean_data_on_empty_input(spark, sf, keep):
+    cleaned, counts = C.clean_data(load_trips(spark, sf).filter(keep), TRIP_ORDER)
+    assert cleaned.count() == 0 and tuple(counts.first()) == (0, 0, 0, 0.0, 0.0)
+
+
+def test_clean_data_that_rejects_every_row(spark, sf):
+    lines = load_trips(spark, sf)
+    cleaned, counts = C.clean_data(lines.withColumn("passenger_count", F.lit(99)), TRIP_ORDER)
+    row = counts.first()
+    assert cleaned.count() == 0 and (row.before_count, row.after_count, row.removal_rate) == (lines.count(), 0, 100.0)
+
+
 @pytest.fixture(scope="module")
 def outlying(spark):
     return spark.createDataFrame([(float(x), float(x % 5)) for x in range(20)] + [(1000.0, 2.0), (None, 2.0), (NAN, 2.0)], "a double, b double")

@@ -116,6 +116,12 @@ def test_loads_report_counts_and_failures(spark, sample, tmp_path):
         K.load_dataframe(sample, "loads", "merge")
 
 
+def test_an_empty_load_succeeds(spark, sample, tmp_path):
+    for name, empty in {"a": sample.limit(0), "b": sample.filter("id > 10"), "c": sample.filter("false")}.items():
+        row = K.load_dataframe(empty, f"empty_{name}", path=str(tmp_path / name)).first()
+        assert (row.status, row.input_row_count, row.verified_row_count) == ("SUCCESS", 0, 0)
+
+
 def test_upsert_twice_changes_nothing(spark, tmp_path):
     target = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, s string")
     source = spark.createDataFrame([(2, "B"), (4, "D")], "id int, s string")
