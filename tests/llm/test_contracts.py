@@ -1,0 +1,170 @@
+"""The registered queries against plain Python on the small tables."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tablemill.llm import queries as registered
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+@pytest.fixture(scope="module")
+def texts(spark, sf):
+    return {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+
+
+def run(spark, sf, name):
+    return registered.QUERIES[name](spark, sf).collect()
+
+
+def test_op2_mix(spark, sf, texts):
+    got = run(spark, sf, "op2_mix_sources")
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    source = {r["doc_id"]: r["source"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source").collect()}
+    sizes = Counter()
+    for i, t in texts.items():
+        sizes[source[i]] += len(WORDS.findall(t))
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: 1 + k % 3 for k, s in enumerate(names)}
+    target, open_names, left = {}, set(names), float(sum(sizes.values()))
+    while True:
+        level = left / sum(weight[s] for s in open_names)
+        over = {s for s in open_names if level * weight[s] > 3 * sizes[s]}
+        if not over:
+            break
+        for s in over:
+            target[s] = 3.0 * sizes[s]
+            left -= target[s]
+        open_names -= over
+    target |= {s: level * weight[s] for s in open_names}
+    taken, largest = Counter(), Counter()
+    for r in got:
+        s = source[r["doc_id"]]
+        n = len(WORDS.findall(texts[r["doc_id"]]))
+        assert (r["size"], r["source_size"]) == (n, sizes[s])
+        assert r["target"] == pytest.approx(target[s])
+        assert 0 <= r["taken"] <= 3 * n and (n == 0 or r["taken"] % n == 0)
+        taken[s] += r["taken"]
+        largest[s] = max(largest[s], n)
+    for s in names:
+        assert abs(taken[s] - target[s]) <= largest[s] / 2 + 1e-6
+    again = {(r["doc_id"], r["taken"]) for r in run(spark, sf, "op2_mix_sources")}
+    assert again == {(r["doc_id"], r["taken"]) for r in got}
+
+
+ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
+
+
+def base_spans(text):
+    spans = [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    spans += [(m.start(), 1, "access", m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    spans += [(m.start(), 2, "hex", m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(spans)
+
+
+def test_op6_secrets(spark, sf, texts):
+    got = run(spark, sf, "op6_scan_secrets")
+    assert len(got) == len(texts)
+    found = 0
+    for r in got:
+        spans = base_spans(texts[r["doc_id"]])
+        joined = [f"{kind}:{a}:{b}" for a, _, kind, b in spans]
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(s[2] == k for s in spans) for k in ("assign", "access", "hex")]
+        assert r["base_sha256"] == hashlib.sha256(",".join(joined).encode()).hexdigest()
+        everything = r["spans"].split(",") if r["spans"] else []
+        assert [s for s in everything if not s.startswith("random")] == joined
+        found += len(joined)
+    assert found > 0
+
+
+def test_op7_quality(spark, sf, texts):
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = run(spark, sf, "op7_quality")
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    right = total = 0
+    for r in got:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+        if r["held_out"] and r["doc_id"] in labels:
+            right += r["predicted"] == labels[r["doc_id"]]
+            total += 1
+    assert right >= 0.9 * total > 0
+
+
+def test_op8_pack(spark, sf, texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(registered.tokenizer_path())
+    got = run(spark, sf, "op8_pack")
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in got:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append(r)
+    assert sorted(by_doc) == sorted(texts)
+    for i, pieces in by_doc.items():
+        ids = np.array([*tokenizer.encode(texts[i], add_special_tokens=False).ids, 1], "<u4")
+        at = 0
+        for p in sorted(pieces, key=lambda p: p["start"]):
+            assert p["start"] == at and p["doc_tokens"] == len(ids) and p["length"] > 0
+            assert p["ids_crc32"] == zlib.crc32(ids[at : at + p["length"]].tobytes())
+            at += p["length"]
+        assert at == len(ids)
+    padding = tokens = 0
+    for pieces in by_sequence.values():
+        at = 0
+        for p in sorted(pieces, key=lambda p: p["offset"]):
+            assert p["offset"] == at
+            at += p["length"]
+        assert at <= 2048
+        tokens += at
+        padding += 0 if at & (at - 1) == 0 else 2048 - at
+    assert padding < 0.05 * tokens
+
+
+def shingles(text, n):
+    found = [w.encode() for w in WORDS.findall(lower(text))]
+    if not found:
+        return set()
+    return {tuple(found[i : i + n]) for i in range(len(found) - n + 1)} if len(found) >= n else {tuple(found)}
+
+
+def brute_components(sets, percent):
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i] = parent[parent[i]]
+        return i
+
+    where = defaultdict(list)
+    for i, s in sets.items():
+        for x in s:
+            where[x].append(i)
+    shared = Counter()
+    for ids in where.values():
+        for k, a in enumerate(ids):
+            for b in ids[k + 1 :]:
+                shared[a, b] += 1
+    for (a, b), both in shared.items():
+        if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    return {i: root(i) for i in sets}
+
+
+def test_op10_near_duplicates(spark, sf, texts):
+    sets = {i: shingles(t, 2) for i, t in texts.items()}
+    expected = brute_components(sets, 80)
+    got = run(spark, sf, "op10_near_duplicates")
+    assert {r["doc_id"]: r["component_id"] for r in got} == expected
+    assert all(r["n_shingles"] == len(sets[r["doc_id"]]) and r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+    assert any(not r["kept"] for r in got)
