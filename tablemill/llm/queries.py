@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import nearest_neighbours
 from .common import documents
+from .fingerprints import fingerprint_documents
 from .mixing import mix_sources
 from .neardup import near_duplicates
 from .packing import pack_documents
 from .quality import held_out, score_quality
 from .secrets import joined_spans, scan_secrets
+from .sharding import shard_documents
+
+# Bytes of text in a shard.
+SHARD_BYTES = 16 << 20
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -23,6 +29,19 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest_neighbours(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+def op4_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(documents(spark, sf_dir), SHARD_BYTES)
+
+
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(documents(spark, sf_dir))
+
+
 def op6_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = scan_secrets(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["rank"] < 3)
@@ -51,5 +70,34 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle=2, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op6_scan_secrets, op7_quality, op8_pack, op10_near_duplicates)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_mix_sources,
+        op3_nearest,
+        op4_shard,
+        op5_fingerprint,
+        op6_scan_secrets,
+        op7_quality,
+        op8_pack,
+        op10_near_duplicates,
+    )
+}
+
+# A document's shard is its shallowest prefix whose documents fit, or the first that is its own.
+SHARDS = f"""
+WITH RECURSIVE sized AS (
+    SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
+           CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h
+    FROM documents),
+levels AS (SELECT CAST(unnest(range(0, 61)) AS INTEGER) AS depth),
+buckets AS (
+    SELECT depth, h >> (60 - depth) AS prefix, count(*) AS shard_docs, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes
+    FROM sized, levels GROUP BY 1, 2),
+fitting AS (SELECT * FROM buckets WHERE shard_bytes <= {SHARD_BYTES} OR shard_docs = 1)
+SELECT doc_id, n_bytes, fitting.depth, prefix, CAST(0 AS BIGINT) AS row_prefix, shard_docs, shard_bytes
+FROM sized JOIN fitting ON prefix = h >> (60 - fitting.depth)
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY fitting.depth) = 1
+"""
+
+ORACLES = {"op4_shard": SHARDS}

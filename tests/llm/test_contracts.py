@@ -168,3 +168,43 @@ def test_op10_near_duplicates(spark, sf, texts):
     assert {r["doc_id"]: r["component_id"] for r in got} == expected
     assert all(r["n_shingles"] == len(sets[r["doc_id"]]) and r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
     assert any(not r["kept"] for r in got)
+
+
+def test_op3_recall(spark, sf):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    rows = [(i, np.array(v, dtype=np.float64)) for i, v in rows if v is not None and None not in v]
+    rows = sorted((i, v) for i, v in rows if np.isfinite(v).all() and v.any())
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    norm = np.sqrt((x * x).sum(axis=1))
+    got = defaultdict(list)
+    for r in run(spark, sf, "op3_nearest"):
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    place = {i: k for k, i in enumerate(ids)}
+    hit = 0
+    queries = [i for i in ids if i % 50 == 0]
+    assert sorted(got) == queries
+    for q in queries:
+        score = x @ x[place[q]] / (norm * norm[place[q]])
+        best = sorted((-s, i) for s, i in zip(score, ids) if i != q)[:5]
+        found = sorted(got[q])
+        assert [f[0] for f in found] == [1, 2, 3, 4, 5]
+        assert all(f[2] == pytest.approx(score[place[f[1]]], abs=1e-12) for f in found)
+        assert found == sorted(found, key=lambda f: (-f[2], f[1]))
+        hit += len({f[1] for f in found} & {b[1] for b in best})
+    assert hit >= 0.9 * 5 * len(queries)
+
+
+def test_op5_fingerprints(spark, sf, texts):
+    ids = sorted(texts)
+    got = {r["doc_id"]: r for r in run(spark, sf, "op5_fingerprint")}
+    assert sorted(got) == ids
+    by_text = {}
+    for i, following in zip(ids, [*ids[1:], ids[0]]):
+        text, cut = texts[i], len(texts[i]) // 4
+        after = text[: len(text) - cut] + texts[following][:cut]
+        assert got[i]["n_chars"] == len(text)
+        assert got[i]["edited_sha256"] == hashlib.sha256(after.encode()).hexdigest()
+        assert by_text.setdefault(text, got[i]["fingerprint"]) == got[i]["fingerprint"]
+    assert np.mean([r["near_edited"] for r in got.values()]) > 0.6
+    assert np.mean([r["near_next"] for r in got.values()]) < 0.1
+    assert np.mean([r["near_edited"] > r["near_next"] for r in got.values()]) > 0.95
