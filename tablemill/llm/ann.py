@@ -3,6 +3,9 @@
 Vectors are scaled to length 1 and cut into halves; each half has its own small set of centroids, fitted on a
 bounded sample, and a cell is a pair of centroids. A query walks the pairs in ascending order of the summed
 distance with a heap until the cells seen hold enough entries, and the entries are ranked by exact cosine.
+
+For many queries at once the cells of one left centroid form a list, lists are cut into blocks, and a block
+meets the queries that visit one of its cells in chunks: memory is bounded by block and chunk.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,8 +24,8 @@ from .common import materialize
 SAMPLE = 20_000
 # Centroids of a half, at most, so that the table of cell sizes stays below 4 million numbers.
 MOST_CENTROIDS = 2048
-# Entries of one cell that are compared together.
-BLOCK = 256
+# Entries, and queries, that are compared together.
+BLOCK, CHUNK = 4096, 512
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -69,7 +73,7 @@ def cells_by_distance(left: np.ndarray, right: np.ndarray):
                 heapq.heappush(heap, (left[a[i2]] + right[b[j2]], i2, j2))
 
 
-def nearest_neighbours(vectors: DataFrame, queries, k: int = 5, entries: int = 4_000, sample: int = SAMPLE) -> DataFrame:
+def nearest_neighbours(vectors: DataFrame, queries, k: int = 5, entries: int = 20_000, sample: int = SAMPLE) -> DataFrame:
     """``query_id, rank, vec_id, score`` for the rows of ``vectors`` (``vec_id, embedding``) where ``queries`` holds.
 
     Score is the cosine in double precision; a query is no neighbour of its own id; ties go to the smaller
@@ -94,7 +98,7 @@ def nearest_neighbours(vectors: DataFrame, queries, k: int = 5, entries: int = 4
     fitted = entries_of.select("v", F.xxhash64("v", F.lit(1)).alias("h")).orderBy("h").limit(sample).toArrow()
     unit = _unit(_stack(fitted.column("v").combine_chunks()))
     half = unit.shape[1] // 2
-    many = int(min(MOST_CENTROIDS, max(4, np.sqrt(n / 8))))
+    many = int(min(MOST_CENTROIDS, max(4, np.sqrt(n / 3))))
     books = [fit_centroids(x, many) for x in (unit[:, :half], unit[:, half:])]
 
     def index(batches):
@@ -105,51 +109,66 @@ def nearest_neighbours(vectors: DataFrame, queries, k: int = 5, entries: int = 4
     indexed = materialize(entries_of.select("ids", "v").mapInArrow(index, f"cell long, ids array<{kind}>, v array<double>"), "index")
     held = indexed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     counted = {r["cell"]: r["n"] for r in held.collect()}  # at most MOST_CENTROIDS squared, and one per entry
-    blocks = (
-        indexed.join(held, "cell")
-        .withColumn("_block", F.pmod(F.xxhash64("v"), F.ceil(F.col("n") / BLOCK)))
-        .groupBy("cell", "_block")
-        .agg(F.collect_list(F.struct("ids", "v")).alias("entries"))
-    )
+    asked = materialize(rows.where("q").select("vec_id", "v").dropDuplicates(["vec_id"]), "queries")
+    chunks = -(-asked.count() // CHUNK)
+    right_size = len(books[1])
 
     def walk(batches):
         for batch in batches:
-            ids, cells, kept = [], [], []
+            rows, lists, cells, chunk = [], [], [], []
             for row, v in enumerate(_unit(_stack(batch.column("v"))) if batch.num_rows else []):
                 left = ((books[0] - v[:half]) ** 2).sum(axis=1)
                 right = ((books[1] - v[half:]) ** 2).sum(axis=1)
-                met = 0
+                met, visited = 0, {}
                 for i, j in cells_by_distance(left, right):
-                    cell = int(i) * len(books[1]) + int(j)
-                    if cell in counted:
-                        kept.append(row)
-                        cells.append(cell)
-                        met += counted[cell]
+                    size = counted.get(int(i) * right_size + int(j))
+                    if size:
+                        visited.setdefault(int(i), []).append(int(j))
+                        met += size
                         if met >= entries:
                             break
-            picked = pa.array(kept, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(picked), pa.array(cells, pa.int64()), batch.column("v").take(picked)], names=["query_id", "cell", "qv"])
-
-    asked = rows.where("q").select("vec_id", "v").dropDuplicates(["vec_id"])
-    visits = asked.mapInArrow(walk, f"query_id {kind}, cell long, qv array<double>")
-    met = visits.join(blocks, "cell").select("query_id", "qv", "entries")
-
-    def rank(batches):
-        for batch in batches:
-            out = []
-            for q, qv, found in zip(batch.column("query_id").to_pylist(), batch.column("qv"), batch.column("entries")):
-                q_v = qv.values.to_numpy(zero_copy_only=False)
-                inner = found.values
-                x = _stack(inner.field("v"))
-                score = (x @ q_v) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((q_v * q_v).sum()))
-                cut = np.partition(score, max(0, len(score) - k - 1))[max(0, len(score) - k - 1)]
-                ids = inner.field("ids")
-                best = [(-score[i], vec) for i in np.flatnonzero(score >= cut) for vec in ids[i].as_py() if vec != q]
+                # Queries of near lists share a chunk.
+                place = int(left.argmin()) * chunks // len(books[0]) + row % max(1, chunks // len(books[0]))
+                for i, js in visited.items():
+                    rows.append(row)
+                    lists.append(i)
+                    cells.append(js)
+                    chunk.append(place)
+            picked = pa.array(rows, pa.int64())
+            columns = [batch.column("vec_id").take(picked), pa.array(lists, pa.int64()), pa.array(cells, pa.list_(pa.int64())), pa.array(chunk, pa.int64()), batch.column("v").take(picked)]
+            yield pa.RecordBatch.from_arrays(columns, names=["query_id", "list", "cells", "chunk", "qv"])
+
+    visits = asked.mapInArrow(walk, f"query_id {kind}, list long, cells array<long>, chunk long, qv array<double>")
+    visits = materialize(visits, "visits")
+    listed = indexed.withColumn("list", F.floor(F.col("cell") / right_size)).withColumn("cell", F.col("cell") % right_size)
+    blocks = listed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("n"))
+    wanted = visits.select("list", "chunk").distinct().join(blocks, "list")
+    stored = listed.join(wanted, "list").select("list", "chunk", F.pmod(F.xxhash64("v"), F.col("n")).alias("block"), "cell", "ids", "v")
+    asking = visits.join(blocks, "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n").cast("long") - 1))).drop("n")
+    asking = materialize(asking, "asking")
+
+    def rank(found: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(found) and len(queries):
+            x, ids, cell = np.stack(found["v"].to_numpy()), found["ids"].to_numpy(), found["cell"].to_numpy()
+            q_all = np.stack(queries["qv"].to_numpy())
+            scores = (x @ q_all.T) / (np.sqrt((x * x).sum(axis=1))[:, None] * np.sqrt((q_all * q_all).sum(axis=1)))
+            open_cells = np.zeros(right_size, dtype=bool)
+            for c, (q, visited) in enumerate(zip(queries["query_id"], queries["cells"])):
+                open_cells[:] = False
+                open_cells[visited] = True
+                seen = np.flatnonzero(open_cells[cell])
+                score = scores[seen, c]
+                # Ties with the last one kept stay in.
+                rest = max(0, len(score) - k - 1)
+                last = np.partition(score, rest)[rest] if len(score) else 0.0
+                best = [(-scores[i, c], vec) for i in seen[score >= last] for vec in ids[i] if vec != q]
                 out += [(q, vec, -s) for s, vec in heapq.nsmallest(k, best)]
-            id_type = batch.schema.field("query_id").type
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], id_type), pa.array([o[1] for o in out], id_type), pa.array([o[2] for o in out], pa.float64())], names=["query_id", "vec_id", "score"])
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    found = met.mapInArrow(rank, f"query_id {kind}, vec_id {kind}, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    keys = ["list", "chunk", "block"]
+    found = stored.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(rank, f"query_id {kind}, vec_id {kind}, score double")
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -12,6 +12,7 @@ from .mixing import mix_sources
 from .neardup import near_duplicates
 from .packing import pack_documents
 from .quality import held_out, score_quality
+from .repeats import remove_repeats
 from .secrets import joined_spans, scan_secrets
 from .sharding import shard_documents
 
@@ -66,6 +67,10 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), tokenizer_path())
 
 
+def op9_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle=2, percent=80)
 
@@ -80,6 +85,7 @@ QUERIES = {
         op6_scan_secrets,
         op7_quality,
         op8_pack,
+        op9_remove_repeats,
         op10_near_duplicates,
     )
 }

@@ -208,3 +208,24 @@ def test_op5_fingerprints(spark, sf, texts):
     assert np.mean([r["near_edited"] for r in got.values()]) > 0.6
     assert np.mean([r["near_next"] for r in got.values()]) < 0.1
     assert np.mean([r["near_edited"] > r["near_next"] for r in got.values()]) > 0.95
+
+
+def brute_repeats(texts, least):
+    seen, out = set(), {}
+    for i in sorted(texts):
+        data = texts[i].encode()
+        covered = bytearray(len(data))
+        for s in range(len(data) - least + 1):
+            window = data[s : s + least]
+            if window in seen:
+                covered[s : s + least] = b"\1" * least
+            seen.add(window)
+        kept = bytes(b for b, c in zip(data, covered) if not c)
+        out[i] = (len(data), len(data) - len(kept), len(re.findall(b"\1+", bytes(covered))), hashlib.sha256(kept).hexdigest())
+    return out
+
+
+def test_op9_repeats(spark, sf, texts):
+    expected = brute_repeats(texts, 100)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in run(spark, sf, "op9_remove_repeats")}
+    assert got == expected
