@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ann import nearest_neighbours
-from .common import documents
+from .common import documents, remainder
 from .fingerprints import fingerprint_documents
 from .mixing import mix_sources
 from .neardup import near_duplicates
 from .packing import pack_documents
 from .quality import held_out, score_quality
 from .repeats import remove_repeats
+from .scoring import score_texts
 from .secrets import joined_spans, scan_secrets
 from .sharding import shard_documents
 
@@ -26,6 +27,12 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out_rows = remainder("doc_id", 10) == 0
+    scored = score_texts(documents(spark, sf_dir), tokenizer_path(), held_out_rows)
+    return scored.withColumn("held_out", held_out_rows)
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
@@ -78,6 +85,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_score,
         op2_mix_sources,
         op3_nearest,
         op4_shard,

@@ -23,9 +23,11 @@ class ByteBpe:
 
     The merges run in ``tiktoken``, which takes a fraction of the time; texts that hold one of the file's
     special strings, and files whose ids do not follow the order of their merges, go to ``tokenizers``.
+    With ``size`` only the first ids of the vocabulary are used: texts fall into shorter pieces, special
+    strings are ordinary text, and a file must number its merges in order.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, size: int | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import tiktoken
         from tokenizers import Tokenizer
@@ -38,8 +40,12 @@ class ByteBpe:
         merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
         self.plain = None
         if all(vocab.get(m) == 256 + i for i, m in enumerate(merged)):
-            ranks = {bytes(names[c] for c in t): i for t, i in vocab.items() if t not in self.special}
+            ranks = {bytes(names[c] for c in t): i for t, i in vocab.items() if t not in self.special and (size is None or i < size)}
             self.plain = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        if size is not None:
+            if self.plain is None:
+                raise ValueError(f"{path}: ids do not follow the order of the merges")
+            self.special = []
 
     def __call__(self, text: str) -> bytes:
         if self.plain is None or any(s in text for s in self.special):

@@ -229,3 +229,64 @@ def test_op9_repeats(spark, sf, texts):
     expected = brute_repeats(texts, 100)
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in run(spark, sf, "op9_remove_repeats")}
     assert got == expected
+
+
+def test_op1_scores(spark, sf, texts):
+    held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in texts}
+    words = {i: [*WORDS.findall(lower(t)), None] for i, t in texts.items()}
+    counts = Counter(w for i, ws in words.items() if not held[i] for w in ws)
+    n, v = sum(counts.values()), len(counts)
+    got = run(spark, sf, "op1_score")
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    for r in got:
+        ws = words[r["doc_id"]]
+        assert (r["held_out"], r["n_tokens"], r["train_tokens"]) == (held[r["doc_id"]], len(ws), n)
+        assert r["n_known"] == sum(counts[w] > 0 for w in ws)
+        assert r["base_score"] == pytest.approx(sum(np.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws))
+    out = [r for r in got if r["held_out"]]
+    # Half a million training words are few; with more the model is ahead by far (README).
+    assert sum(r["score"] for r in out) > 1.02 * sum(r["base_score"] for r in out)
+
+
+def test_scores_are_probabilities():
+    from tablemill.llm import scoring
+    from tablemill.llm.tokens import ByteBpe
+
+    rng = np.random.default_rng(0)
+    weights = scoring.start_weights()
+    tables = np.log(rng.dirichlet(np.ones(scoring.SYMBOLS), (scoring.LAGS, scoring.SYMBOLS))).astype(np.float32)
+    ids = rng.integers(0, scoring.SYMBOLS, (3, scoring.WINDOW))
+    # Causal: a later input changes nothing before it.
+    other = ids.copy()
+    other[:, -1] = (other[:, -1] + 1) % scoring.SYMBOLS
+    a, b = (scoring.forward(weights, tables, x, 16)[0].reshape(3, -1, scoring.SYMBOLS) for x in (ids, other))
+    assert np.allclose(a[:, :-1], b[:, :-1], atol=1e-5) and not np.allclose(a[:, -1], b[:, -1])
+    # A mixture over words: the first words of a text have no more than probability 1 together.
+    encode = ByteBpe(registered.tokenizer_path(), scoring.VOCABULARY)
+    model = scoring.Model(encode, weights, tables, {b"a": np.log10(0.25), b"b": np.log10(0.75)}, (np.empty(0, np.int64),) * 2)
+    # Windows do not matter for a text's own words: one window or several, every subword counts once.
+    long = [bytes([97 + k % 7]) * (1 + k % 3) for k in range(200)]
+    assert model.log10([long])[0] == pytest.approx(model.log10([[b"x"], long])[1], rel=1e-5)
+    assert model.log10([long])[0] < model.log10([long[:100]])[0] < 0
+
+
+def test_gradients_agree_with_differences():
+    from tablemill.llm import scoring
+
+    rng = np.random.default_rng(1)
+    p = {n: w.astype(np.float64) for n, w in scoring.start_weights().items()}
+    tables = rng.standard_normal((scoring.LAGS, scoring.SYMBOLS, scoring.SYMBOLS))
+    ids, targets = rng.integers(0, scoring.SYMBOLS, (2, 2, scoring.WINDOW))
+    weight = np.ones(ids.shape)
+
+    def loss(q):
+        logits, _ = scoring.forward(q, tables, ids, 0)
+        return -(logits[np.arange(targets.size), targets.ravel()] - np.log(np.exp(logits).sum(axis=1))).mean()
+
+    g = scoring.gradients(p, tables, ids, targets, weight)
+    for name in p:
+        at = np.unravel_index(np.abs(g[name]).argmax(), g[name].shape)
+        up, down = ({**p, name: p[name].copy()} for _ in range(2))
+        up[name][at] += 1e-4
+        down[name][at] -= 1e-4
+        assert g[name][at] == pytest.approx((loss(up) - loss(down)) / 2e-4, rel=2e-2)
