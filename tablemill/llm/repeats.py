@@ -314,6 +314,8 @@ def remove_repeats(docs: DataFrame, least: int = 100) -> DataFrame:
     each of them. Other columns are ignored; an empty table gives an empty result. Anchors are shuffled
     once, texts twice; what lies between is stored.
     """
+    if least < ANCHOR:
+        raise ValueError(f"least must be {ANCHOR} or more")
     own = docs.select("doc_id", F.coalesce("doc_id", F.lit(-(2**63))).cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     found = own.select("id", "text").mapInArrow(_all_runs(least), FOUND_SCHEMA)
     # Runs that are known to be repeated only pass through.

@@ -145,7 +145,7 @@ def with_randomness(df: DataFrame, token: str) -> DataFrame:
         "serial_p": F.when(F.col("encoding").isNotNull(), F.coalesce(2 * _tail(F.abs(serial_z)), F.lit(0.0))),
     })
     p = F.least(F.lit(1.0), 3 * F.least("chi_p", "runs_p", "serial_p"))
-    out = out.withColumn("p_random", p)
+    out = out.withColumn("p_random", F.when(F.col("encoding").isNotNull(), p))
     return out.drop("_alpha", "_values", "_n", "_a", "_square", "_mean", "_high", "_dev", "_ones", "_runs", "_var", "_cov")
 
 
