@@ -102,7 +102,7 @@ def _close_bins(pieces: DataFrame, keys: list[str], round_no: int) -> DataFrame:
     inside = Window.partitionBy("cls", *keys, "_bin").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
     group = F.col(keys[0]) if keys else F.lit(0)
     # Round, group, class and bin make the number of the sequence.
-    number = F.lit(ROUND * round_no) + group.cast("long") * F.lit(1 << 40) + F.col("cls") * F.lit(1 << 28) + F.col("_bin")
+    number = F.lit(ROUND * round_no) + group.cast("long") * F.lit(1 << 40) + F.col("cls").cast("long") * F.lit(1 << 28) + F.col("_bin")
     return numbered.withColumns({
         "offset": F.when(closed, F.coalesce(F.sum("length").over(inside), F.lit(0))),
         "sequence_id": F.when(closed, number),
