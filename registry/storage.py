@@ -24,13 +24,13 @@ PERFORMANCE = """SELECT count(*) AS total_trips, count(DISTINCT vendor_id) AS un
 def _csv(spark, sf):
     docs = table(spark, sf, "documents")
     path = X.export_csv(docs, scratch_path(spark, "csv") + ".csv")
-    return S.load_data(spark, path, schema=docs.schema, multiLine=True, escape='"')
+    return S.load_data(spark, path, schema=docs.schema)
 
 
 def _json(spark, sf):
     events = table(spark, sf, "events")
     path = X.export_json(events, scratch_path(spark, "json") + ".json")
-    return S.load_data(spark, path, schema=events.schema, multiLine=False)
+    return S.load_data(spark, path, schema=events.schema)
 
 
 def _csv_inferred(spark, sf):
@@ -121,7 +121,7 @@ def _report(spark, sf):
     rides = trips(spark, sf)
     report = performance_report(rides, apply_filters(rides, vendors=[1, 2]))
     path = X.export_performance_report(report, scratch_path(spark, "report") + ".json")
-    back = S.load_data(spark, path, schema=report.schema, multiLine=False)
+    back = S.load_data(spark, path, schema=report.schema)
     return round_doubles(back.select("total_records", "filtered_records", "statistics.*"))
 
 
@@ -135,12 +135,27 @@ def _statistics(spark, sf):
 def _metrics(spark, sf):
     metrics = full_metrics(prepare_trips(trips(spark, sf), TRIP_ORDER))
     path = X.export_json(metrics, scratch_path(spark, "metrics") + ".json")
-    return round_doubles(S.load_data(spark, path, schema=metrics.schema, multiLine=False)).select("total_trips", "total_revenue", "tip_rate_pct")
+    return round_doubles(S.load_data(spark, path, schema=metrics.schema)).select("total_trips", "total_revenue", "tip_rate_pct")
+
+
+def _json_document(spark, sf):
+    """Regions as one JSON document, an array, per file."""
+    regions = table(spark, sf, "region").groupBy().agg(F.to_json(F.array_sort(F.collect_list(F.struct("*")))).alias("value"))
+    path = scratch_path(spark, "document") + ".json"
+    regions.coalesce(1).write.text(path)
+    return S.load_data(spark, path, schema=table(spark, sf, "region").schema, multiLine=True)
+
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def _inventory(spark, sf):
-    files = S.list_objects(spark, sf)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"))
+    """Rows of each stored table, found by the files the rows come from."""
+    files = [table(spark, sf, name).select(F.col("_metadata.file_path").alias("path")) for name in TABLES]
+    rows = files[0]
+    for more in files[1:]:
+        rows = rows.unionByName(more)
+    return rows.groupBy(F.regexp_extract("path", r"([^/]+)\.parquet", 1).alias("file")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 REGION_SQL = """SELECT r_name, count(*) AS customers, round(avg(c_acctbal), 2) AS avg_balance
@@ -168,6 +183,7 @@ CASES = {
     "csv_roundtrip": (_csv, "SELECT * FROM documents"),
     "csv_inferred": (_csv_inferred, "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem"),
     "json_roundtrip": (_json, "SELECT * FROM events"),
+    "json_document": (_json_document, "SELECT * FROM region"),
     "csv_accepted": (lambda spark, sf: _mixed_csv(spark, sf)[0], "SELECT p_partkey, p_size FROM part WHERE p_size <= 25"),
     "csv_rejected": (
         lambda spark, sf: _mixed_csv(spark, sf)[1].select("raw_record"),
@@ -213,5 +229,5 @@ CASES = {
         f"""{WITH_PREPARED} SELECT count(*) AS total_trips, round(sum(total_amount), 2) AS total_revenue,
             round(sum(tip_amount) / sum(fare_amount) * 100, 2) AS tip_rate_pct FROM prepared""",
     ),
-    "file_inventory": (_inventory, None),
+    "file_inventory": (_inventory, " UNION ALL ".join(f"SELECT '{t}' AS file, count(*) AS n_rows FROM {t}" for t in TABLES)),
 }

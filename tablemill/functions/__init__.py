@@ -1,6 +1,15 @@
 """Column expressions: every function takes and returns a ``Column``."""
 
-from .columns import as_column, columns_of, is_missing, missing_count, numeric_columns, string_columns, timestamp_columns
+from .columns import (
+    as_column,
+    columns_of,
+    is_missing,
+    missing_count,
+    numeric_columns,
+    present,
+    string_columns,
+    timestamp_columns,
+)
 from .dates import (
     calendar_date,
     day_of_week,
@@ -31,6 +40,7 @@ __all__ = [
     "label_text",
     "log1p_value",
     "missing_count",
+    "present",
     "normalize_phone",
     "normalize_status",
     "normalize_whitespace",

@@ -37,5 +37,10 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return column.isNull()
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """The column with NaN as NULL, so that no measure sees it."""
+    return F.when(~is_missing(df, name), F.col(f"`{name}`")) if isinstance(df.schema[name].dataType, FLOATING) else F.col(f"`{name}`")
+
+
 def missing_count(df: DataFrame, name: str) -> Column:
     return F.count_if(is_missing(df, name))

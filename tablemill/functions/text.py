@@ -34,10 +34,17 @@ def normalize_status(text: Column | str) -> Column:
 
 
 def normalize_phone(text: Column | str) -> Column:
-    """``+1-XXX-XXXX`` from the seven digits in ``text``; any other number of digits gives NULL."""
-    digits = F.regexp_replace(as_column(text), "[^0-9]", "")
-    formatted = F.concat(F.lit("+1-"), F.substring(digits, 1, 3), F.lit("-"), F.substring(digits, 4, 4))
-    return F.when(F.length(digits) == 7, formatted)
+    """``+1-XXX-XXXX`` from seven digits, ``+1-XXX-XXX-XXXX`` from ten, with or without the leading 1.
+
+    Other numbers keep their stripped text; a text without digits gives NULL. Applying it twice changes nothing.
+    """
+    column = as_column(text)
+    digits = F.regexp_replace(F.regexp_replace(column, "[^0-9]", ""), "^1(?=([0-9]{7}|[0-9]{10})$)", "")
+    part = lambda start, length: F.substring(digits, start, length)
+    short = F.concat(F.lit("+1-"), part(1, 3), F.lit("-"), part(4, 4))
+    long = F.concat(F.lit("+1-"), part(1, 3), F.lit("-"), part(4, 3), F.lit("-"), part(7, 4))
+    kept = F.when(F.length(digits) > 0, strip_whitespace(column))
+    return F.when(F.length(digits) == 7, short).when(F.length(digits) == 10, long).otherwise(kept)
 
 
 def standard_id(value: Column | str, prefix: str = "CUST-", width: int = 3) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_missing, numeric_columns
+from ..functions import is_missing, numeric_columns, present
 from ..session import pin
 from .joins import join_on
 from .quantiles import approximate_quantiles, exact_quantiles
@@ -65,10 +65,10 @@ def pivot_aggregation(
 ) -> DataFrame:
     """One column per value of ``pivot_col``; an unknown function means ``sum``.
 
-    Listing the ``values`` saves the job that looks them up.
+    Listing the ``values`` saves the job that looks them up; without them Spark refuses more than 10,000 columns.
     """
     aggregate = AGGREGATES[agg_func if agg_func in ("sum", "avg", "count", "min", "max") else "sum"]
-    return df.groupBy(*group_cols).pivot(pivot_col, list(values) if values else None).agg(aggregate(value_col))
+    return df.groupBy(*group_cols).pivot(pivot_col, list(values) if values else None).agg(aggregate(present(df, value_col)))
 
 
 def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence[object] | None = None) -> DataFrame:
@@ -91,7 +91,7 @@ def grouped_measure(
     df: DataFrame, key: str, value: str, function: str, name: str, by_key: bool = False
 ) -> DataFrame:
     """One aggregate per key, largest first or in key order; missing keys are left out."""
-    measured = df.filter(~is_missing(df, key)).groupBy(key).agg(AGGREGATES[function](value).alias(name))
+    measured = df.filter(~is_missing(df, key)).groupBy(key).agg(AGGREGATES[function](present(df, value)).alias(name))
     return measured.orderBy(*([key] if by_key else [F.desc_nulls_last(name), key]))
 
 

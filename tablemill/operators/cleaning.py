@@ -112,11 +112,11 @@ def _means(df: DataFrame, columns: list[str]) -> dict[str, float]:
 
 
 def _fill(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
-    """Replace missing cells; a whole-number column that receives a fraction becomes double."""
+    """Replace missing cells; decimals keep their type, a whole-number column that receives a fraction becomes double."""
     filled = {}
     for name, value in values.items():
         kind = df.schema[name].dataType
-        keeps = isinstance(kind, FLOATING) or (isinstance(kind, T.IntegralType) and float(value).is_integer())
+        keeps = isinstance(kind, (*FLOATING, T.DecimalType)) or (isinstance(kind, T.IntegralType) and float(value).is_integer())
         target = kind if keeps else T.DoubleType()
         filled[name] = F.when(is_missing(df, name), F.lit(value).cast(target)).otherwise(F.col(name).cast(target))
     return df.withColumns(filled) if filled else df

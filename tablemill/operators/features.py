@@ -69,7 +69,7 @@ def create_numerical_features(
         if operation == "log":
             return log1p_value(column, use_abs)
         if operation == "square":
-            return column * column
+            return F.try_multiply(column, column)  # NULL beyond the range of whole numbers
         return reciprocal(column) if operation == "reciprocal" else F.abs(column)
 
     return df.withColumns({f"{c}_{o}": feature(c, o) for c in columns for o in operations})

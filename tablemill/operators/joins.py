@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 32 << 20
 
 
 def match_rows(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -22,9 +22,11 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame
     return match_rows(left, right.drop(*shared), keys, "inner").drop(*[f"_r_{k}" for k in keys])
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting that ``df`` holds at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only after measuring that ``df`` holds at most ``max_rows`` rows and ``max_bytes`` bytes as text.
 
-    The count stops at ``max_rows + 1``. A larger table is left to the planner, which shuffles it.
+    The pass stops at ``max_rows + 1``. A larger table is left to the planner, which shuffles it.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    width = F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    return F.broadcast(df) if n <= max_rows and (size or 0) <= max_bytes else df

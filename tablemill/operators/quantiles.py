@@ -198,6 +198,8 @@ def _interpolate(found: DataFrame, keys: list[str], probabilities: list[float])
         position = F.lit(p) * (F.col("n") - 1)
         below = F.col("_at")[F.floor(position).cast("long") + 1]
         above = F.col("_at")[F.ceil(position).cast("long") + 1]
-        return below + (above - below) * (position - F.floor(position))
+        # As the built-in percentile weighs them; equal neighbours, infinities too, are taken as they are.
+        weighted = (F.ceil(position) - position) * below + (position - F.floor(position)) * above
+        return F.when(below == above, below).otherwise(weighted)
 
     return at_rank.select(*keys, "n", F.array(*[quantile(p) for p in probabilities]).alias("quantiles"))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import is_missing
+from ..functions import is_missing, present
 from ..session import pin
 from .joins import join_on, match_rows
 
@@ -137,7 +137,7 @@ def rolling_average(
 
     def plain(part: DataFrame, keys: list[str]) -> DataFrame:
         window = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(-preceding, 0)
-        return part.withColumn(output, F.avg(column).over(window))
+        return part.withColumn(output, F.avg(present(part, column)).over(window))
 
     def chunked(part: DataFrame, keys: list[str]) -> DataFrame:
         size = max(hot_rows, preceding, 1)
@@ -147,7 +147,7 @@ def rolling_average(
         copies = F.when(at % size >= size - preceding, F.array(block, block + 1)).otherwise(F.array(block))
         spread = numbered.withColumns({"_home": block, "_block": copies}).withColumn("_block", F.explode("_block"))
         window = Window.partitionBy(*keys, "_block").orderBy(f"{column}_row_num").rowsBetween(-preceding, 0)
-        return spread.withColumn(output, F.avg(column).over(window)).filter("_home = _block")
+        return spread.withColumn(output, F.avg(present(spread, column)).over(window)).filter("_home = _block")
 
     return _run(df, partition_cols, order_cols, hot_rows, plain, chunked).select(*df.columns, output)
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import MAX_PASSENGERS, handle_missing_values, prepare_trips, remove_duplicates
 from ..operators.features import create_first_date_features
 from ..operators.profiling import quality_report, validate_data
-from ..session import materialize, observed_rows
+from ..session import materialize
 from ..sinks.files import export_csv, export_json
 from ..sinks.tables import load_dataframe
 from ..sources.files import load_csv_from_s3, load_data
@@ -55,16 +55,18 @@ def run_flow(
             if not validate_data(df):
                 raise ValueError("the source holds no rows")
         with log.step("transform") as transformed:
-            rows = Observation("rows in")
-            counted = df.observe(rows, F.count(F.lit(1)).alias("n"))
-            clean = transform(materialize(remove_duplicates(counted), "distinct"))
-            loaded.rows_in = loaded.rows_out = transformed.rows_in = observed_rows(rows)
+            # A count of its own: a counter before the shuffle counts rows again when a task is repeated.
+            loaded.rows_in = loaded.rows_out = transformed.rows_in = df.count()
+            clean = transform(materialize(remove_duplicates(df), "distinct"))
         with log.step("db_load") as stored:
             result.load_stats = load_dataframe(clean, table, "overwrite", path)
             stats = result.load_stats.first()
             stored.status = stats["status"]
-            stored.rows_in = transformed.rows_out = stats["input_row_count"] or 0
+            written = stats["input_row_count"]
+            # What was transformed does not depend on whether it could be stored.
+            stored.rows_in = transformed.rows_out = clean.count() if written is None else written
             stored.rows_out = stats["verified_row_count"] or 0
+            stored.rows_failed = max(0, stored.rows_in - stored.rows_out)
         if stored.status == "SUCCESS":
             result.table = spark.table(table)
         result.quality = quality_report(clean if result.table is None else result.table)

@@ -7,20 +7,20 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import calendar_date, is_missing, label_text, rounded, route_label, tip_rate
+from ..functions import calendar_date, is_missing, label_text, present, rounded, route_label, tip_rate
 from ..operators.aggregates import crosstab, grouped_measure, histogram, histogram_by_group, sort_limit, value_counts
 
 
 def statistics(df: DataFrame) -> DataFrame:
     """Trips, vendors, mean distance, fare, passengers and speed, revenue."""
-    speed = F.avg("speed_mph") if "speed_mph" in df.columns else F.lit(0.0)
+    speed = F.avg(present(df, "speed_mph")) if "speed_mph" in df.columns else F.lit(0.0)
     return df.agg(
         F.count(F.lit(1)).alias("total_trips"),
         F.count_distinct("vendor_id").alias("unique_vendors"),
-        F.avg("trip_distance").alias("avg_distance"),
-        F.avg("fare_amount").alias("avg_fare"),
-        F.avg("passenger_count").alias("avg_passengers"),
-        F.sum("total_amount").alias("total_revenue"),
+        F.avg(present(df, "trip_distance")).alias("avg_distance"),
+        F.avg(present(df, "fare_amount")).alias("avg_fare"),
+        F.avg(present(df, "passenger_count")).alias("avg_passengers"),
+        F.sum(present(df, "total_amount")).alias("total_revenue"),
         speed.alias("avg_speed"),
     )
 
@@ -30,15 +30,15 @@ def full_metrics(df: DataFrame) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("total_trips"),
         F.count_distinct("vendor_id").alias("unique_vendors"),
-        F.sum("total_amount").alias("total_revenue"),
-        F.avg("fare_amount").alias("avg_fare"),
-        F.avg("trip_distance").alias("avg_distance"),
-        F.avg("passenger_count").alias("avg_passengers"),
-        F.avg("trip_duration_minutes").alias("avg_duration_minutes"),
-        F.avg("speed_mph").alias("avg_speed"),
-        F.sum("tip_amount").alias("total_tips"),
-        F.avg("tip_amount").alias("avg_tip"),
-        tip_rate("tip_amount", "fare_amount").alias("tip_rate_pct"),
+        F.sum(present(df, "total_amount")).alias("total_revenue"),
+        F.avg(present(df, "fare_amount")).alias("avg_fare"),
+        F.avg(present(df, "trip_distance")).alias("avg_distance"),
+        F.avg(present(df, "passenger_count")).alias("avg_passengers"),
+        F.avg(present(df, "trip_duration_minutes")).alias("avg_duration_minutes"),
+        F.avg(present(df, "speed_mph")).alias("avg_speed"),
+        F.sum(present(df, "tip_amount")).alias("total_tips"),
+        F.avg(present(df, "tip_amount")).alias("avg_tip"),
+        tip_rate(present(df, "tip_amount"), present(df, "fare_amount")).alias("tip_rate_pct"),
         F.count_if(F.col("is_weekend")).alias("weekend_trips"),
         F.count_if(~F.col("is_weekend")).alias("weekday_trips"),
     )
@@ -48,19 +48,19 @@ def headline(df: DataFrame) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_distinct("vendor_id").alias("unique_vendors"),
-        F.avg("trip_distance").alias("avg_distance"),
-        F.sum("total_amount").alias("total_revenue"),
+        F.avg(present(df, "trip_distance")).alias("avg_distance"),
+        F.sum(present(df, "total_amount")).alias("total_revenue"),
     )
 
 
 def distribution(df: DataFrame) -> DataFrame:
     return df.agg(
-        F.avg("trip_distance").alias("mean_distance"),
-        F.stddev("trip_distance").alias("std_distance"),
-        F.avg("fare_amount").alias("mean_fare"),
-        F.stddev("fare_amount").alias("std_fare"),
-        F.avg("tip_amount").alias("mean_tip"),
-        tip_rate("tip_amount", "fare_amount").alias("tip_rate_pct"),
+        F.avg(present(df, "trip_distance")).alias("mean_distance"),
+        F.stddev(present(df, "trip_distance")).alias("std_distance"),
+        F.avg(present(df, "fare_amount")).alias("mean_fare"),
+        F.stddev(present(df, "fare_amount")).alias("std_fare"),
+        F.avg(present(df, "tip_amount")).alias("mean_tip"),
+        tip_rate(present(df, "tip_amount"), present(df, "fare_amount")).alias("tip_rate_pct"),
     )
 
 
@@ -73,12 +73,12 @@ def vendor_aggregates(df: DataFrame) -> DataFrame:
     return _by_vendor(
         df,
         {
-            "fare_sum": F.sum("fare_amount"),
-            "fare_mean": F.avg("fare_amount"),
-            "fare_std": F.stddev("fare_amount"),
-            "distance_mean": F.avg("trip_distance"),
-            "passengers_mean": F.avg("passenger_count"),
-            "total_mean": F.avg("total_amount"),
+            "fare_sum": F.sum(present(df, "fare_amount")),
+            "fare_mean": F.avg(present(df, "fare_amount")),
+            "fare_std": F.stddev(present(df, "fare_amount")),
+            "distance_mean": F.avg(present(df, "trip_distance")),
+            "passengers_mean": F.avg(present(df, "passenger_count")),
+            "total_mean": F.avg(present(df, "total_amount")),
         },
     )
 
@@ -87,11 +87,11 @@ def vendor_performance(df: DataFrame) -> DataFrame:
     return _by_vendor(
         df,
         {
-            "avg_fare": F.avg("fare_amount"),
-            "total_fare": F.sum("fare_amount"),
-            "avg_distance": F.avg("trip_distance"),
-            "avg_speed": F.avg("speed_mph"),
-            "avg_tip": F.avg("tip_amount"),
+            "avg_fare": F.avg(present(df, "fare_amount")),
+            "total_fare": F.sum(present(df, "fare_amount")),
+            "avg_distance": F.avg(present(df, "trip_distance")),
+            "avg_speed": F.avg(present(df, "speed_mph")),
+            "avg_tip": F.avg(present(df, "tip_amount")),
         },
     )
 
@@ -100,14 +100,14 @@ def vendor_summary(df: DataFrame) -> DataFrame:
     return _by_vendor(
         df,
         {
-            "total_revenue": F.sum("total_amount"),
-            "avg_revenue": F.avg("total_amount"),
-            "avg_fare": F.avg("fare_amount"),
-            "avg_distance": F.avg("trip_distance"),
-            "avg_passengers": F.avg("passenger_count"),
-            "avg_speed": F.avg("speed_mph"),
-            "total_tips": F.sum("tip_amount"),
-            "avg_tip": F.avg("tip_amount"),
+            "total_revenue": F.sum(present(df, "total_amount")),
+            "avg_revenue": F.avg(present(df, "total_amount")),
+            "avg_fare": F.avg(present(df, "fare_amount")),
+            "avg_distance": F.avg(present(df, "trip_distance")),
+            "avg_passengers": F.avg(present(df, "passenger_count")),
+            "avg_speed": F.avg(present(df, "speed_mph")),
+            "total_tips": F.sum(present(df, "tip_amount")),
+            "avg_tip": F.avg(present(df, "tip_amount")),
         },
     )
 
@@ -159,9 +159,9 @@ def first_routes(df: DataFrame, routes: int = 10) -> DataFrame:
 
 def weekend_comparison(df: DataFrame) -> DataFrame:
     return df.filter("is_weekend IS NOT NULL").groupBy("is_weekend").agg(
-        F.count("total_amount").alias("trips"),
-        F.sum("total_amount").alias("revenue"),
-        F.avg("total_amount").alias("avg_revenue"),
+        F.count(present(df, "total_amount")).alias("trips"),
+        F.sum(present(df, "total_amount")).alias("revenue"),
+        F.avg(present(df, "total_amount")).alias("avg_revenue"),
     )
 
 

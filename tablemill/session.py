@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# Rows a driver may hold when a small result (statistics, bounds) is pinned as literals.
-PIN_ROWS = 10_000
+# Rows and bytes a driver may hold when a small result (statistics, bounds) is pinned as literals.
+PIN_ROWS, PIN_BYTES = 10_000, 8 << 20
 
 
 def create_session(app_name: str = "tablemill", **conf: str) -> SparkSession:
@@ -30,15 +29,12 @@ def create_session(app_name: str = "tablemill", **conf: str) -> SparkSession:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder named by ``spark.checkpoint.dir``.
 
-    Every executor must be able to read it, so a machine-local folder is used only when the
-    setting is absent and the session runs in local mode (tests).
+    Every executor must be able to read it, so without the setting this raises; a local session may name a
+    folder of its own with ``setCheckpointDir``.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="tablemill-")
-        spark.sparkContext.setCheckpointDir(base)
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -54,16 +50,18 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def pin(df: DataFrame, label: str = "pinned", max_rows: int = PIN_ROWS) -> DataFrame:
+def pin(df: DataFrame, label: str = "pinned", max_rows: int = PIN_ROWS, max_bytes: int = PIN_BYTES) -> DataFrame:
     """Compute a statistics table once, so that every task and every retry sees the same values.
 
-    Up to ``max_rows`` rows become a local table with a broadcast hint, as their number is known;
-    a larger table is written out, and the planner picks its joins by size.
+    The table is written out and measured there; up to ``max_rows`` rows of up to ``max_bytes`` bytes (as
+    text) become a local table with a broadcast hint, for a larger one the planner picks its joins by size.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-    return materialize(df, label)
+    stored = materialize(df, label)
+    width = F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
+    n, size = stored.agg(F.count(F.lit(1)), F.sum(width)).first()
+    if n > max_rows or (size or 0) > max_bytes:
+        return stored
+    return F.broadcast(df.sparkSession.createDataFrame(stored.collect(), df.schema))
 
 
 def observed_rows(observation: Observation) -> int:

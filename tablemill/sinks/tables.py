@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import match_rows
 from ..session import observed_rows
 
 MODES = ("overwrite", "append")
@@ -77,14 +78,29 @@ def verified_columns(spark: SparkSession, table: str) -> list[str]:
     return spark.table(table).columns
 
 
+def one_per_key(source: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+    """One row per key, NULL keys included: the last by ``order_by``, then by all columns."""
+    names = [f"`{c}`" for c in source.columns]
+    last = F.max(F.struct(*(F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)), *names)).alias("_last")
+    return source.groupBy(*(F.col(k).alias(f"_k_{k}") for k in keys)).agg(last).select(*(f"_last.{c}" for c in names))
+
+
+def _without_keys(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return match_rows(rows, other.select(*keys).distinct(), keys, "left_anti")
+
+
 def incremental_rows(
     source: DataFrame, target: DataFrame, keys: Sequence[str], modified: str | None = None
 ) -> DataFrame:
-    """Source rows whose key is new to the target or, with ``modified``, newer than the target's row."""
+    """Source rows whose key is new to the target or, with ``modified``, newer than the target's row.
+
+    NULL keys meet. Of rows that repeat a key in the source one goes on: the newest, then the largest.
+    """
+    source = one_per_key(source, keys, [modified] if modified else [])
     if modified is None:
-        return source.join(target.select(*keys).distinct(), list(keys), "left_anti")
+        return _without_keys(source, target, keys)
     newest = target.groupBy(*keys).agg(F.max(modified).alias("_newest"))
-    joined = source.join(newest, list(keys), "left")
+    joined = match_rows(source, newest, keys, "left")
     return joined.filter(F.col("_newest").isNull() | (F.col(modified) > F.col("_newest"))).select(*source.columns)
 
 
@@ -94,9 +110,19 @@ def incremental_load(df: DataFrame, table: str, keys: Sequence[str], modified: s
 
 
 def upsert_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is not in the source, plus all source rows (one row per key)."""
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(source, allowMissingColumns=True).select(*target.columns)
+    """Target rows whose key is not in the source, plus one source row per key; NULL keys meet.
+
+    Columns that the source lacks keep their stored values; columns that the target lacks are refused.
+    """
+    unknown = [c for c in source.columns if c not in target.columns]
+    if unknown:
+        raise ValueError(f"the target has no columns {unknown}")
+    source = one_per_key(source, keys)
+    absent = [c for c in target.columns if c not in source.columns]
+    kept = _without_keys(target, source, keys)
+    if absent:
+        source = match_rows(source, one_per_key(target.select(*keys, *absent), keys), keys, "left")
+    return kept.unionByName(source.select(*target.columns))
 
 
 def upsert_load(df: DataFrame, table: str, keys: Sequence[str], path: str, file_format: str = "parquet") -> int:
@@ -115,7 +141,9 @@ def checksum(df: DataFrame) -> DataFrame:
 
     A sum, unlike an exclusive or, notices rows that were repeated.
     """
-    hashed = F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")
+    names = sorted(df.columns)
+    # The hash skips NULLs; the flags tell where they are.
+    hashed = F.xxhash64(*names, *(F.col(f"`{c}`").isNull() for c in names)).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(hashed), F.lit(0)).alias("checksum"))
 
 

@@ -42,14 +42,18 @@ def load_data(
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, **options: object) -> DataFrame:
-    """Header row, types from ``schema`` or inferred."""
-    reader = spark.read.options(**{"header": True, **options})
+    """Header row, types from ``schema`` or inferred; quotes inside a value are doubled, as the exporter writes them.
+
+    A quoted value may hold line breaks, so a file is read by one task; a folder of part files is read in
+    parallel. ``multiLine=False`` lets Spark split large files whose values hold no line break.
+    """
+    reader = spark.read.options(**{"header": True, "escape": '"', "multiLine": True, **options})
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
 def load_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None, **options: object) -> DataFrame:
-    """Whole-document JSON; ``multiLine=False`` reads JSON lines, which Spark can split."""
-    reader = spark.read.options(**{"multiLine": True, **options})
+    """JSON lines, which Spark can split; ``multiLine=True`` reads files that are one document each."""
+    reader = spark.read.options(**{"multiLine": False, **options})
     return (reader.schema(schema) if schema else reader).json(path)
 
 

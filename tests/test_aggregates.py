@@ -116,3 +116,17 @@ def test_append_aligns_by_name(spark):
     a = spark.createDataFrame([(1, "x")], "id int, s string")
     b = spark.createDataFrame([("y", 2.0)], "s string, extra double")
     assert rows(A.append_rows(a, b)) == [(1, "x", None), (None, "y", 2.0)]
+
+
+def test_not_a_number_is_missing_everywhere(spark):
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 1, float("nan")), ("b", 1, float("nan"))], "k string, p int, v double")
+    assert rows(A.pivot_aggregation(df, ["k"], "p", "v", "avg")) == [("a", 1.0), ("b", None)]
+    assert rows(A.grouped_measure(df, "k", "v", "sum", "s")) == [("a", 1.0), ("b", None)]
+
+
+def test_decimal_fill_keeps_the_type(spark):
+    from tablemill.operators.cleaning import handle_missing_values
+
+    df = spark.sql("SELECT CAST(x AS DECIMAL(10,2)) AS fare FROM VALUES (1.10), (2.20), (NULL) AS t(x)")
+    filled = handle_missing_values(df, "mean")
+    assert filled.dtypes == df.dtypes and [str(r[0]) for r in filled.orderBy("fare").collect()] == ["1.10", "1.65", "2.20"]

@@ -142,7 +142,11 @@ def test_one_hot_drops_the_last_label(spark):
 
 def test_text_functions(spark):
     df = spark.createDataFrame([("(555)1111",), ("555 2222",), ("12",), (None,)], "p string")
-    assert [r[0] for r in df.select(X.normalize_phone("p")).collect()] == ["+1-555-1111", "+1-555-2222", None, None]
+    assert [r[0] for r in df.select(X.normalize_phone("p")).collect()] == ["+1-555-1111", "+1-555-2222", "12", None]
+    ten = spark.createDataFrame([("(555) 123-4567",), ("1 555 123 4567",), ("+1-555-1111",), (" - ",)], "p string")
+    once = ten.select(X.normalize_phone("p").alias("p"))
+    assert [r[0] for r in once.collect()] == ["+1-555-123-4567", "+1-555-123-4567", "+1-555-1111", None]
+    assert rows(once.select(X.normalize_phone("p"))) == rows(once)
     one = spark.range(1)
     assert one.select(X.standard_id(F.lit("7")), X.standard_id(F.lit("12345")), X.label_text("Vendor %s", F.lit(3)), X.label_text("%s", F.lit(None))).first()[:] == (
         "CUST-007",

@@ -34,7 +34,7 @@ def test_load_by_extension(spark, sample, tmp_path):
 def test_whole_document_json(spark, tmp_path):
     path = tmp_path / "doc.json"
     path.write_text(json.dumps([{"a": 1, "b": {"c": [1, 2]}}, {"a": 2, "b": None}], indent=2))
-    assert [r.a for r in S.load_data(spark, str(path)).orderBy("a").collect()] == [1, 2]
+    assert [r.a for r in S.load_data(spark, str(path), multiLine=True).orderBy("a").collect()] == [1, 2]
 
 
 def test_bad_sources_raise(spark, tmp_path):
@@ -223,3 +223,26 @@ def test_notebook_flow_exports(spark, sf, tmp_path):
     assert S.load_data(spark, str(tmp_path / "transformed_data.csv")).count() == rides
     back = S.load_data(spark, str(tmp_path / "metrics.json"), multiLine=False).first()
     assert back["total_trips"] == rides and back["weekend_trips"] + back["weekday_trips"] == rides
+
+
+def test_defaults_read_back_exports(spark, tmp_path):
+    df = spark.createDataFrame([(i, f'say "hi"\nline {i}, and ""more""') for i in range(50)], "id long, text string")
+    for name, export in (("out.json", X.export_json), ("out.csv", X.export_csv)):
+        path = export(df, str(tmp_path / name))
+        assert rows(S.load_data(spark, path, schema=df.schema)) == rows(df)
+
+
+def test_null_and_repeated_keys_load_once(spark):
+    target = spark.createDataFrame([(1, "a", 1), (None, "n", 2)], "id int, v string, w int")
+    source = spark.createDataFrame([(None, "m"), (2, "b"), (2, "c")], "id int, v string")
+    assert rows(K.incremental_rows(source, target, ["id"])) == [(2, "c")]
+    merged = K.upsert_rows(source, target, ["id"])
+    assert rows(merged) == rows(spark.createDataFrame([(1, "a", 1), (None, "m", 2), (2, "c", None)], target.schema))
+    assert rows(K.upsert_rows(source, merged, ["id"])) == rows(merged)
+    with pytest.raises(ValueError):
+        K.upsert_rows(source.withColumn("x", F.lit(1)), target, ["id"])
+
+
+def test_checksum_sees_where_nulls_are(spark):
+    one, two = (spark.createDataFrame([r], "a int, b int") for r in ((None, 1), (1, None)))
+    assert K.checksum(one).first().checksum != K.checksum(two).first().checksum
