@@ -1,13 +1,14 @@
 """Near-duplicate documents by MinHash, with odd sketches to choose what is compared in full.
 
 A document is the set of its word shingles. Documents with equal sets form a class; the rest works on one
-representative of each class. 128 MinHash samples give 32 band keys, and the samples themselves are folded
-into an odd sketch: sample ``j`` flips one of 512 bits. The XOR of two sketches counts the samples that
+representative of each class. Of 1024 MinHash samples 128 give 32 band keys, and all are folded into an odd
+sketch: sample ``j`` flips one of 4096 bits. The XOR of two sketches counts the samples that
 differ, which tells similarities near 1 apart precisely, so only pairs that share a band and whose sketches
 are close are compared on their full sets.
 
 A group of thousands of near copies does not become pairs: first every member is compared with one member of
-its bands, then only members of a band that are still in different components are.
+its bands, the one that shares most bands with others (as the original of many copies does), then only members
+of a band that are still in different components are.
 """
 
 from __future__ import annotations
@@ -21,12 +22,11 @@ from .common import materialize
 from .components import connected_components
 from .text import mix, shingle_sets
 
-BANDS, ROWS, BITS = 32, 4, 512
-SAMPLES = BANDS * ROWS
+BANDS, ROWS, SAMPLES, BITS = 32, 4, 1024, 4096
 WORDS64 = BITS // 64
-# Most differing bits at which a pair is still compared: five standard deviations above the mean at a
-# similarity of 0.8 (47 bits). A pair of similarity 0.8 shares no band with a chance below 1e-7.
-MOST_BITS = 100
+# Most differing bits at which a pair is still compared: over four standard deviations above the mean at a
+# similarity of 0.8 (371 bits), as at a similarity of 0.74. A pair of similarity 0.8 shares no band with a chance below 1e-7.
+MOST_BITS = 470
 
 _RNG = np.random.default_rng(20240501)
 _MULTIPLY = (_RNG.integers(0, 2**32, SAMPLES, dtype=np.uint32) | np.uint32(1)).astype(np.uint32)
@@ -34,11 +34,11 @@ _ADD = _RNG.integers(0, 2**32, SAMPLES, dtype=np.uint32)
 
 
 def min_samples(hashes: np.ndarray) -> np.ndarray:
-    """The 128 MinHash samples of a non-empty set of 64-bit hashes."""
+    """The MinHash samples of a non-empty set of 64-bit hashes."""
     short = (hashes >> np.uint64(32)).astype(np.uint32)
     least = np.full(SAMPLES, 0xFFFFFFFF, dtype=np.uint32)
-    for first in range(0, len(short), 512):
-        block = short[first : first + 512, None] * _MULTIPLY
+    for first in range(0, len(short), 128):
+        block = short[first : first + 128, None] * _MULTIPLY
         block += _ADD
         np.minimum(least, block.min(axis=0), out=least)
     return least
@@ -56,7 +56,7 @@ def _sketch_batch(column, shingle: int):
             keys.append((np.uint64(0), np.uint64(0)))
     samples = np.array(samples, dtype=np.uint32).reshape(-1, SAMPLES).astype(np.uint64)
     numbered = mix(samples + (np.arange(SAMPLES, dtype=np.uint64) << np.uint64(32)))
-    bands = numbered.reshape(-1, BANDS, ROWS)
+    bands = numbered[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
     band_keys = np.zeros(bands.shape[:2], dtype=np.uint64)
     for r in range(ROWS):
         band_keys = mix(band_keys * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, r])
@@ -68,14 +68,14 @@ def _sketch_batch(column, shingle: int):
 
 
 def odd_sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id, n_shingles, k0, k1`` (the set's 128-bit key), ``bands`` and the sketch ``o0`` ... ``o7``."""
+    """``doc_id, n_shingles, k0, k1`` (the set's 128-bit key), ``bands`` and the sketch ``o0``, ``o1`` ...."""
     kind = dict(docs.dtypes)["doc_id"]
     names = ["n_shingles", "k0", "k1", "bands", *(f"o{i}" for i in range(WORDS64))]
 
     def run(batches):
         for batch in batches:
-            for first in range(0, batch.num_rows, 1024):
-                part = batch.slice(first, 1024)
+            for first in range(0, batch.num_rows, 512):
+                part = batch.slice(first, 512)
                 sizes, keys, bands, odd = _sketch_batch(part.column(1), shingle)
                 lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), bands.ravel())
                 columns = [part.column(0), pa.array(sizes, pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), lists]
@@ -110,7 +110,8 @@ def confirm_links(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int,
         blocked.select(F.col("b").alias("_id"), F.col("a").alias("hub"), "_block", F.lit(1).alias("role"))
         .unionByName(blocked.select(F.col("a").alias("_id"), F.col("a").alias("hub"), "_block", F.lit(0).alias("role")).distinct())
     )
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_id")).select("hub", "_block", "role", "doc_id", "text")
+    # The ids wanted grow with the documents, so the plan is the same at every size.
+    texts = docs.select("doc_id", "text").join(wanted.hint("merge"), F.col("doc_id") == F.col("_id")).select("hub", "_block", "role", "doc_id", "text")
     spread = texts.repartition("hub", "_block").sortWithinPartitions("hub", "_block", "role", "doc_id")
 
     def run(batches):
@@ -147,12 +148,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     )
     sets = materialize(sets, "sets")
     rows = sets.select("rep", F.explode("bands").alias("band"))
-    shared = rows.groupBy("band").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = materialize(rows.join(shared.select("band", "hub"), "band"), "bands")
+    shared = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    rows = materialize(rows.join(shared, "band"), "bands")
+    weight = rows.groupBy("rep").agg(F.sum("n").alias("weight"))
+    rows = materialize(rows.select("rep", "band").join(weight, "rep"), "bands")
+    hubs = rows.groupBy("band").agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("hub"))
 
-    # One partner for each document: the band minimum whose sketch is closest.
+    # One partner for each document: the hub of a band whose sketch is closest.
     small = sets.select("rep", "n_shingles", *own)
-    star = rows.where("rep <> hub").select("hub", F.col("rep").alias("member")).distinct()
+    star = rows.join(hubs, "band").where("rep <> hub").select("hub", F.col("rep").alias("member")).distinct()
     near = (
         star.join(small.alias("x"), F.col("hub") == F.col("x.rep"))
         .join(small.alias("y"), F.col("member") == F.col("y.rep"))
