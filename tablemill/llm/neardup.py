@@ -172,11 +172,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     placed = placed.select("band", "rep", F.coalesce("component", "rep").alias("part"))
     mixed = placed.groupBy("band", "part").agg(F.count(F.lit(1)).alias("n"))
     mixed = mixed.groupBy("band").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    inside = materialize(placed.join(mixed.select("band", "main"), "band").join(small, "rep"), "mixed")
-    # Each pair of different components has a member outside the band's main component.
+    inside = materialize(placed.join(mixed.select("band", "main"), "band").join(sets.select("rep", "n_shingles", "bands", *own), "rep"), "mixed")
+    # Each pair of different components has a member outside the band's main component. It is made once: from
+    # that member, from the smaller of two such members, and in the first of the bands it shares.
+    once = (F.col("x.part") != F.col("y.part")) & ((F.col("y.part") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep")))
+    first_band = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.band")
     across = (
         inside.where("part <> main").alias("x")
-        .join(inside.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.part") != F.col("y.part")) & _comparable("x", "y", percent))
+        .join(inside.alias("y"), (F.col("x.band") == F.col("y.band")) & once & _comparable("x", "y", percent) & first_band)
         .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
         .distinct()
     )
