@@ -4,7 +4,8 @@ A piece of length ``l`` belongs to class ``k`` when ``capacity / (k + 1) < l <=
 ``k`` holds exactly ``k`` pieces. As documents may be cut freely, a document is cut into full sequences and
 then into the longest piece ``capacity // k`` that fits, again and again, so that bins close nearly full; what
 is shorter than ``least_cut`` stays whole. Workers fill bins independently. Pieces that do not fill a bin of
-their worker meet in a second and a third round, and the few pieces left after that are packed first fit.
+their worker meet those of neighbouring workers, ``FAN`` of them in a group, then the groups meet in the same way,
+so that no group grows with the input; the few pieces left after the last round are packed first fit.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ from pyspark.sql import functions as F
 from .common import materialize
 from .tokens import ByteBpe
 
-PIECE = "doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, cls int, sequence_id long, offset long"
-# Workers whose left-over pieces of a class meet in one group of the second round.
-GROUP = 64
-ROUND = 1 << 60
+PIECE = "doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, cls int, sequence_id long, offset long, worker long"
+# Workers, or groups of them, whose left-over pieces of a class meet in one group: fewer than FAN * class pieces.
+FAN = 32
+# Sequence numbers of a round start at its multiple; the first six are enough for FAN**6 workers.
+ROUND, LAST_ROUND = 1 << 60, 7
 
 
 def cut_lengths(n: int, capacity: int, least_cut: int) -> list[tuple[int, int]]:
@@ -47,19 +49,19 @@ def _tokenised(path: str, capacity: int, least_cut: int, end_id: int):
         encode = ByteBpe(path)
         worker = TaskContext.get().partitionId()
         made, waiting = 0, {}
-        columns = [[] for _ in range(8)]
+        columns = [[] for _ in range(9)]
 
         def flush():
             out = pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], kind), *(pa.array(c, pa.int64()) for c in columns[1:5]), pa.array(columns[5], pa.int32()), *(pa.array(c, pa.int64()) for c in columns[6:])],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "cls", "sequence_id", "offset"],
+                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "cls", "sequence_id", "offset", "worker"],
             )
             for c in columns:
                 c.clear()
             return out
 
         def put(piece, sequence, offset):
-            for c, v in zip(columns, (*piece, sequence, offset)):
+            for c, v in zip(columns, (*piece, sequence, offset, worker)):
                 c.append(v)
 
         kind = pa.int64()
@@ -91,18 +93,18 @@ def _tokenised(path: str, capacity: int, least_cut: int, end_id: int):
     return run
 
 
-def _close_bins(pieces: DataFrame, keys: list[str], round_no: int) -> DataFrame:
-    """Fills bins of ``cls`` pieces within each group; pieces left over keep a null sequence."""
-    along = Window.partitionBy("cls", *keys).orderBy("doc_id", "start", "length", "ids_crc32")
+def _close_bins(pieces: DataFrame, round_no: int) -> DataFrame:
+    """Fills bins of ``cls`` pieces within each group ``worker``; pieces left over keep a null sequence."""
+    keys = ["cls", "worker"]
+    along = Window.partitionBy(*keys).orderBy("doc_id", "start", "length", "ids_crc32")
     numbered = pieces.withColumn("_n", F.row_number().over(along) - 1).withColumn(
-        "_total", F.count(F.lit(1)).over(Window.partitionBy("cls", *keys))
+        "_total", F.count(F.lit(1)).over(Window.partitionBy(*keys))
     )
     numbered = numbered.withColumn("_bin", F.floor(F.col("_n") / F.col("cls")))
     closed = (F.col("_bin") + 1) * F.col("cls") <= F.col("_total")
-    inside = Window.partitionBy("cls", *keys, "_bin").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
-    group = F.col(keys[0]) if keys else F.lit(0)
+    inside = Window.partitionBy(*keys, "_bin").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
     # Round, group, class and bin make the number of the sequence.
-    number = F.lit(ROUND * round_no) + group.cast("long") * F.lit(1 << 40) + F.col("cls").cast("long") * F.lit(1 << 28) + F.col("_bin")
+    number = F.lit(ROUND * round_no) + F.col("worker") * F.lit(1 << 40) + F.col("cls").cast("long") * F.lit(1 << 28) + F.col("_bin")
     return numbered.withColumns({
         "offset": F.when(closed, F.coalesce(F.sum("length").over(inside), F.lit(0))),
         "sequence_id": F.when(closed, number),
@@ -121,7 +123,7 @@ def _pack_rest(capacity: int):
             if not len(fits):
                 free = np.append(free, capacity)
                 fits = [len(free) - 1]
-            sequence[i], offset[i] = ROUND * 3 + fits[0], capacity - free[fits[0]]
+            sequence[i], offset[i] = ROUND * LAST_ROUND + fits[0], capacity - free[fits[0]]
             free[fits[0]] -= length
         pdf["sequence_id"], pdf["offset"] = sequence, offset
         return pdf
@@ -141,11 +143,17 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, l
     schema = PIECE.format(kind=kind)
     run = _tokenised(tokenizer_path, capacity, least_cut, end_id)
     pieces = materialize(docs.select("doc_id", "text").mapInArrow(run, schema), "pieces")
-    done = pieces.where("sequence_id IS NOT NULL")
-    open_pieces = pieces.where("sequence_id IS NULL")
-    group = F.pmod(F.xxhash64("doc_id", "start"), F.lit(GROUP)).cast("long")
-    second = materialize(_close_bins(open_pieces.withColumn("_group", group), ["_group"], 1).drop("_group"), "second")
-    third = materialize(_close_bins(second.where("sequence_id IS NULL"), [], 2), "third")
-    last = third.where("sequence_id IS NULL").groupBy().applyInPandas(_pack_rest(capacity), schema)
-    packed = done.unionByName(second.where("sequence_id IS NOT NULL")).unionByName(third.where("sequence_id IS NOT NULL")).unionByName(last)
-    return packed.drop("cls")
+    packed = pieces.where("sequence_id IS NOT NULL")
+    rest = pieces.where("sequence_id IS NULL")
+    last_worker = rest.agg(F.max("worker")).first()[0] or 0
+    for round_no in range(1, LAST_ROUND):
+        grouped = rest.withColumn("worker", F.floor(F.col("worker") / FAN))
+        met = materialize(_close_bins(grouped, round_no), "met")
+        packed = packed.unionByName(met.where("sequence_id IS NOT NULL"))
+        rest = met.where("sequence_id IS NULL")
+        last_worker //= FAN
+        if not last_worker:
+            break
+    # One group is left, with fewer pieces of each class than fill a bin.
+    last = rest.groupBy().applyInPandas(_pack_rest(capacity), schema)
+    return packed.unionByName(last).drop("cls", "worker")
