@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+from collections import defaultdict
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +72,25 @@ def test_empty_table(name, docs, labels):
     assert operators(labels)[name](docs.limit(0)).count() == 0
 
 
+def test_pack_rounds(spark, docs, monkeypatch):
+    """Left-over pieces of many workers meet in several rounds; every id stays in one place of one sequence."""
+    monkeypatch.setattr("tablemill.llm.packing.FAN", 3)
+    many = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), (F.col("id") % 90).cast("int")).alias("text"))
+    got = pack_documents(many.repartition(20), registered.tokenizer_path(), capacity=64, least_cut=4).collect()
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in got:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append(r)
+    assert len(by_doc) == 400 and len({r["sequence_id"] >> 60 for r in got}) >= 3
+    for rows, place, last in ((by_doc, "start", lambda p: p["doc_tokens"]), (by_sequence, "offset", lambda p: None)):
+        for pieces in rows.values():
+            at = 0
+            for p in sorted(pieces, key=lambda p: p[place]):
+                assert p[place] == at
+                at += p["length"]
+            assert at == last(p) or place == "offset" and at <= 64
+
+
 def test_pack_edges(docs):
     path = registered.tokenizer_path()
     got = pack_documents(docs, path, capacity=64).collect()
