@@ -97,10 +97,8 @@ def shingle_sets(column, n: int):
         starts, ends, bounds = words(part, offsets[first : last + 1] - offsets[first])
         hashes = word_hashes(part, starts, ends)
         rolled = hashes.copy()
-        for k in range(1, n):
-            rolled[: len(rolled) - k or None] = (
-                rolled[: len(rolled) - k or None] * _ODD + hashes[k:] if len(hashes) > k else rolled
-            )
+        for k in range(1, min(n, len(hashes))):
+            rolled[:-k] = rolled[:-k] * _ODD + hashes[k:]
         rolled = mix(rolled)
         for lo, hi in zip(bounds[:-1], bounds[1:]):
             if hi - lo >= n:
