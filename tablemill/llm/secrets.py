@@ -1,7 +1,10 @@
 """Secret scans: fixed patterns, and a battery of randomness tests on long mixed tokens.
 
-A token is a run of 20 or more characters of ``A-Z a-z 0-9 + / _ = -`` that touches no pattern match. Its
-characters give the encoding (hexadecimal, base 32, base 62, base 64) whose alphabet the tests assume:
+A token is a run of 20 or more characters of ``A-Z a-z 0-9 + / _ -`` and the "=" after it, with two or more of
+digits, upper and lower case, that touches no pattern match. Its characters give the encoding (hexadecimal,
+base 32, 36, 62 or 64) whose alphabet the tests assume. A run that is none as a whole, such as a secret
+after a prefix with "_", is cut: at "_" and "-" or at "+" and "/", else at all four; without a piece of 20
+characters that has an encoding, the whole run is tested against all its possible characters. The tests:
 
 * chi-squared test of equal use of all letters of the alphabet,
 * runs test around the middle of the alphabet,
@@ -26,14 +29,20 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+# Whole runs, and their pieces; "=" is padding at the end only, so that KEY=VALUE is cut.
+TOKEN = r"[A-Za-z0-9+/_-]{20,}=*"
+PIECES = (r"[A-Za-z0-9+/]{20,}=*", r"[A-Za-z0-9_-]{20,}=*", r"[A-Za-z0-9]{20,}=*")
 ALPHABETS = {
     "hex": "0123456789abcdef",
     "HEX": "0123456789ABCDEF",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base32lower": "abcdefghijklmnopqrstuvwxyz234567",
+    "base36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "base36lower": "0123456789abcdefghijklmnopqrstuvwxyz",
     "base62": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+    "mixed": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/-_",
 }
 # Lower ends of the length classes, and the grid of p-value thresholds.
 LENGTHS = (20, 24, 32, 48, 64, 128, 512)
@@ -77,18 +86,41 @@ def _located(text: Column, pattern: str, kind: str, group: int | None = None) ->
 
 
 def _encoding(token: Column) -> Column:
-    """The name in ALPHABETS, or null: ordinary words use one class of characters only."""
+    """The name in ALPHABETS, or null: ordinary words use one class of characters only, or are joined by signs."""
     digit, upper, lower = token.rlike("[0-9]"), token.rlike("[A-Z]"), token.rlike("[a-z]")
     return (
         F.when(token.rlike("^[0-9a-f]+$") & digit & lower, "hex")
         .when(token.rlike("^[0-9A-F]+$") & digit & upper, "HEX")
         .when(token.rlike("^[A-Z2-7]+=*$") & digit & upper, "base32")
-        .when(token.rlike("^[0-9A-Za-z]+=*$") & digit & upper & lower, "base62")
-        .when(token.rlike("^[0-9A-Za-z+/]+=*$") & digit & upper & lower, "base64")
-        .when(token.rlike("^[0-9A-Za-z_-]+=*$") & digit & upper & lower, "base64url")
+        .when(token.rlike("^[a-z2-7]+=*$") & digit & lower, "base32lower")
+        .when(token.rlike("^[0-9A-Z]+=*$") & digit & upper, "base36")
+        .when(token.rlike("^[0-9a-z]+=*$") & digit & lower, "base36lower")
+        .when(token.rlike("^[0-9A-Za-z]+=*$") & upper & lower, "base62")
+        .when(token.rlike("^[0-9A-Za-z+/]+=*$") & upper & lower, "base64")
+        .when(token.rlike("^[0-9A-Za-z_-]+=*$") & upper & lower, "base64url")
     )
 
 
+def _mixed(token: Column) -> Column:
+    """Whether two or more of digits, upper and lower case occur."""
+    return sum(token.rlike(c).cast("int") for c in ("[0-9]", "[A-Z]", "[a-z]")) >= 2
+
+
+def _with_tokens(df: DataFrame, text: str) -> DataFrame:
+    """Adds ``_token``, an array of (from, upto, rank, found): runs and pieces to be tested, none inside another."""
+    coded = lambda spans: F.filter(spans, lambda t: _encoding(t["found"]).isNotNull())
+    apart = lambda spans, others: F.filter(spans, lambda t: ~F.exists(others, lambda o: (o["from"] < t["upto"]) & (t["from"] < o["upto"])))
+    out = df.withColumn("_all", F.filter(_located(F.col(text), TOKEN, "random"), lambda t: _mixed(t["found"])))
+    out = out.withColumn("_token", coded("_all"))
+    # A text whose runs are all tested as a whole has no pieces to look for.
+    left = F.size("_token") < F.size("_all")
+    nothing = F.array().cast("array<struct<from:int,upto:int,rank:int,found:string>>")
+    for pattern in PIECES:
+        out = out.withColumn("_piece", F.when(left, coded(_located(F.col(text), pattern, "random"))).otherwise(nothing))
+        out = out.withColumn("_token", F.concat("_token", apart("_piece", F.col("_token"))))
+    return out.withColumn("_token", F.concat("_token", apart("_all", F.col("_token")))).drop("_all", "_piece")
+
+
 def _tail(z: Column) -> Column:
     """Upper tail of the normal distribution, by a rational approximation (error below 1e-7)."""
     x = F.abs(z) / F.sqrt(F.lit(2.0))
@@ -101,10 +133,10 @@ def _tail(z: Column) -> Column:
 def with_randomness(df: DataFrame, token: str) -> DataFrame:
     """Adds ``encoding``, ``chi_p``, ``runs_p``, ``serial_p`` and the combined ``p_random`` of a token column.
 
-    Tokens without an encoding have nulls.
+    Tokens of fewer than two of digits, upper and lower case have nulls.
     """
     body = F.rtrim(F.translate(F.col(token), "=", " "))
-    out = df.withColumn("encoding", _encoding(F.col(token)))
+    out = df.withColumn("encoding", F.coalesce(_encoding(F.col(token)), F.when(_mixed(F.col(token)), "mixed")))
     alphabet = F.create_map(*(F.lit(x) for pair in ALPHABETS.items() for x in pair))[F.col("encoding")]
     out = out.withColumn("_alpha", alphabet).withColumn(
         "_values", F.when(F.col("encoding").isNotNull(), F.transform(F.split(body, ""), lambda c: F.instr(F.col("_alpha"), c).cast("double")))
@@ -187,8 +219,8 @@ def scan_secrets(docs: DataFrame, fdr: float = 0.1, carry: bool = False) -> Data
         "_assign": F.filter(_located(F.col("_text"), ASSIGN, "assign", 2), lambda s: F.length(s["found"]) >= 8),
         "_access": _located(F.col("_text"), ACCESS, "access"),
         "_hex": _located(F.col("_text"), HEX, "hex"),
-        "_token": F.filter(_located(F.col("_text"), TOKEN, "random"), lambda s: _encoding(s["found"]).isNotNull()),
     })
+    base = _with_tokens(base, "_text")
     base = base.withColumn("_base", F.concat("_assign", "_access", "_hex"))
     free = F.filter("_token", lambda t: ~F.exists("_base", lambda b: (b["from"] < t["upto"]) & (t["from"] < b["upto"])))
     narrow = F.transform("_base", lambda s: F.struct(s["from"].alias("from"), s["upto"].alias("upto"), s["rank"].alias("rank")))
