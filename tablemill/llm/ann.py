@@ -24,6 +24,9 @@ from .common import materialize
 SAMPLE = 20_000
 # Centroids of a half, at most, so that the table of cell sizes stays below 4 million numbers.
 MOST_CENTROIDS = 2048
+# Part of the distinct vectors that a query meets, at least. Of close to random ones it holds the nearest five with a
+# recall of 0.94 among 10,256 and 0.98 among 51,282.
+SHARE = 0.4
 # Entries, and queries, that are compared together.
 BLOCK, CHUNK = 4096, 512
 
@@ -73,11 +76,11 @@ def cells_by_distance(left: np.ndarray, right: np.ndarray):
                 heapq.heappush(heap, (left[a[i2]] + right[b[j2]], i2, j2))
 
 
-def nearest_neighbours(vectors: DataFrame, queries, k: int = 5, entries: int = 20_000, sample: int = SAMPLE) -> DataFrame:
+def nearest_neighbours(vectors: DataFrame, queries, k: int = 5, entries: int = 20_000, sample: int = SAMPLE, share: float = SHARE) -> DataFrame:
     """``query_id, rank, vec_id, score`` for the rows of ``vectors`` (``vec_id, embedding``) where ``queries`` holds.
 
     Score is the cosine in double precision; a query is no neighbour of its own id; ties go to the smaller
-    id. A query meets at least ``entries`` distinct vectors, or all there are. Equal vectors are indexed once
+    id. A query meets at least ``entries`` distinct vectors and at least ``share`` of them, or all there are. Equal vectors are indexed once
     with their ``k + 1`` smallest ids, which is all that an answer can hold. Vectors that are null, zero, of
     another length than most, or hold null or non-finite numbers take no part; other columns are ignored; an
     empty table gives an empty result. Repeated rows of an id count as one candidate.
@@ -95,6 +98,7 @@ def nearest_neighbours(vectors: DataFrame, queries, k: int = 5, entries: int = 2
     partial = rows.select("v", F.col("vec_id").alias("id"), F.xxhash64("v").alias("h"))
     entries_of = materialize(distinct_vectors(partial, k + 1), "vectors")
     n = entries_of.count()
+    entries = max(entries, int(np.ceil(share * n)))
     fitted = entries_of.select("v", F.xxhash64("v", F.lit(1)).alias("h")).orderBy("h").limit(sample).toArrow()
     unit = _unit(_stack(fitted.column("v").combine_chunks()))
     half = unit.shape[1] // 2
