@@ -20,6 +20,9 @@ PERFORMANCE = """SELECT count(*) AS total_trips, count(DISTINCT vendor_id) AS un
     round(avg(passenger_count), 2) AS avg_passengers, round(sum(total_amount), 2) AS total_revenue,
     round(avg(speed_mph), 2) AS avg_speed FROM trips WHERE vendor_id IN (1, 2)"""
 
+# Keys whose rows share a JSON document.
+DOCUMENT_KEYS = 2
+
 
 def _csv(spark, sf):
     docs = table(spark, sf, "documents")
@@ -139,11 +142,13 @@ def _metrics(spark, sf):
 
 
 def _json_document(spark, sf):
-    """Regions as one JSON document, an array, per file."""
-    regions = table(spark, sf, "region").groupBy().agg(F.to_json(F.array_sort(F.collect_list(F.struct("*")))).alias("value"))
+    """Regions as JSON documents, arrays of the rows of a few neighbouring keys, one to a file."""
+    regions = table(spark, sf, "region")
+    bucket = F.floor(F.col("r_regionkey") / DOCUMENT_KEYS).alias("bucket")
+    documents = regions.groupBy(bucket).agg(F.to_json(F.array_sort(F.collect_list(F.struct(*regions.columns)))).alias("value"))
     path = scratch_path(spark, "document") + ".json"
-    regions.coalesce(1).write.text(path)
-    return S.load_data(spark, path, schema=table(spark, sf, "region").schema, multiLine=True)
+    documents.write.partitionBy("bucket").text(path)
+    return S.load_data(spark, path, schema=regions.schema, multiLine=True).select(*regions.columns)
 
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
