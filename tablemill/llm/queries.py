@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .ann import nearest_neighbours
 from .common import documents, remainder
+from .dialogue import damage_conversations, repair_report
 from .fingerprints import fingerprint_documents
 from .mixing import mix_sources
 from .neardup import near_duplicates
@@ -82,6 +83,11 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle=2, percent=80)
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repair_report(turns, damage_conversations(turns))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -95,6 +101,7 @@ QUERIES = {
         op8_pack,
         op9_remove_repeats,
         op10_near_duplicates,
+        op13_repair,
     )
 }
 
