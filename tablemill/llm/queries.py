@@ -11,6 +11,7 @@ from .dialogue import damage_conversations, repair_report
 from .fingerprints import fingerprint_documents
 from .mixing import mix_sources
 from .neardup import near_duplicates
+from .negatives import hard_negatives, quantised
 from .packing import pack_documents
 from .quality import held_out, score_quality
 from .repeats import remove_repeats
@@ -83,6 +84,12 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle=2, percent=80)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quantised(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return repair_report(turns, damage_conversations(turns))
@@ -101,6 +108,7 @@ QUERIES = {
         op8_pack,
         op9_remove_repeats,
         op10_near_duplicates,
+        op12_hard_negatives,
         op13_repair,
     )
 }
