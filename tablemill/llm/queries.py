@@ -15,6 +15,7 @@ from .negatives import hard_negatives, quantised
 from .packing import pack_documents
 from .quality import held_out, score_quality
 from .repeats import remove_repeats
+from .rules import BASE, apply_quality_rules
 from .scoring import score_texts
 from .secrets import joined_spans, scan_secrets
 from .sharding import shard_documents
@@ -84,6 +85,11 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle=2, percent=80)
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return apply_quality_rules(documents(spark, sf_dir), labels).select("doc_id", *BASE, "base_failed", "kept", "rule")
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quantised(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -108,6 +114,7 @@ QUERIES = {
         op8_pack,
         op9_remove_repeats,
         op10_near_duplicates,
+        op11_quality_rules,
         op12_hard_negatives,
         op13_repair,
     )
