@@ -28,6 +28,7 @@ from .common import materialize
 ROW_VALUES, ANCHOR_VALUES, AT_ONCE = 1 << 21, 1 << 18, 1024
 # Rows that first thresholds are read from. They never decide a result.
 SAMPLE = 4096
+HASHES = 1 << 40
 INDEX_BLOCK = 16
 LOWEST, HIGHEST = -(1 << 62), 1 << 62
 
@@ -194,7 +195,9 @@ def _threshold_join(rows: DataFrame, anchors: DataFrame, slots: DataFrame, k: in
 
 def _fill_windows(rows: DataFrame, anchors: DataFrame, slots: DataFrame, k: int, same: bool, share: float) -> DataFrame:
     """The best ``k`` rows of each slot (``anchor_id, anchor_key, slot, lower, upper``) between its bounds."""
-    sample = materialize(rows.orderBy("key", "vec_id").limit(SAMPLE), "sample")
+    # The lowest hashes, few enough before any task sends its first ones.
+    hashed = F.pmod(F.col("key"), F.lit(HASHES))
+    sample = materialize(rows.where(hashed < int(HASHES * min(1.0, 1.2 * share))).orderBy(hashed, "vec_id").limit(SAMPLE), "sample")
     known = _threshold_join(sample, anchors, slots.withColumnRenamed("lower", "floor"), k, same)
     first = min(k, int(np.ceil(k * share)) + 1)
     score = lambda r: F.max(F.when(F.col("rank") == r, F.col("score")))

@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from .common import materialize
 from .text import SPACE, buffers, mix, slices, words
 
-# Labelled rows the rules are learned from, at most; the rows with the smallest hash of their id are taken.
+# Labelled rows the rules are learned from, at most; the rows with the smallest hash are taken.
 TRAIN_ROWS = 20_000
+HASHES = 1 << 40
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SHARES = (
@@ -240,12 +241,17 @@ def learned_from(statistics: DataFrame, labels: DataFrame, train_rows: int = TRA
     """Rules from the rows of ``statistics`` that pass the base limits and have a label.
 
     ``labels`` has ``doc_id, quality``; null ids and qualities are left out, and an id marked 0 and 1 counts as 0.
-    Of more than ``train_rows`` rows those with the smallest hash of their id are taken.
+    Rows that agree in id and statistics count once; of more than ``train_rows`` rows those with the smallest
+    hash are taken.
     """
     marks = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_quality"))
     known = statistics.where(~base_failed()).join(marks, F.col("doc_id") == F.col("_id"))
-    order = [F.xxhash64("doc_id"), "doc_id", *BASE, *SHARES]
-    rows = known.orderBy(*order).limit(train_rows).select("_quality", *SHARES).collect()
+    known = known.select(F.pmod(F.xxhash64("doc_id", *BASE), F.lit(HASHES)).alias("_hash"), "_quality", *SHARES).distinct()
+    known = materialize(known, "labelled")
+    # Most rows above the limit stay out before any task sends its smallest ones.
+    share = 1.2 * train_rows / max(1, known.count())
+    rows = known.where(F.col("_hash") < int(HASHES * min(1.0, share))).orderBy("_hash", "_quality", *SHARES).limit(train_rows)
+    rows = rows.drop("_hash").collect()
     table = np.array([tuple(r) for r in rows], dtype=np.float64).reshape(-1, 1 + len(SHARES))
     return learn_rules(table[:, 1:], table[:, 0] == 0)
 
