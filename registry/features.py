@@ -11,7 +11,7 @@ from tablemill.operators.features import (
     create_first_date_features,
     create_numerical_features,
 )
-from tablemill.operators.windows import create_window_features, rolling_average
+from tablemill.operators.windows import HOT_ROWS, create_window_features, rolling_average
 
 from .common import TRIP_FEATURES, WITH_TRIPS, table, trips
 
@@ -55,6 +55,47 @@ def _window_hot(spark, sf):
     return create_window_features(table(spark, sf, "events"), ["event_type"], ["ts", "event_id"], functions, hot_rows=500)
 
 
+# One order column of each kind, in Spark's SQL and in DuckDB's. Every other part's name is upper case in the collated one.
+ORDERS = {
+    "text": ("'Part name ' || p_name", "'Part name ' || p_name"),
+    "collated": ("collate(if(p_partkey % 2 > 0, upper(p_name), p_name), 'UTF8_LCASE')", "lower(p_name)"),
+    "binary": ("unhex(md5(p_name))", "md5(p_name)"),
+}
+EVERY = ["lag", "lead", "row_number", "rank"]
+EVERY_SQL = """lag(p_retailprice) OVER w AS p_retailprice_lag1, lead(p_retailprice) OVER w AS p_retailprice_lead1,
+    row_number() OVER w AS p_retailprice_row_num"""
+
+
+def _ordered(kind, hot_rows):
+    """Lag, lead and row number along a text, collated or binary column, and the rank along it alone."""
+
+    def query(spark, sf):
+        parts = table(spark, sf, "part").select("p_partkey", "p_size", "p_name", "p_retailprice", F.expr(ORDERS[kind][0]).alias("o"))
+        made = create_window_features(parts, ["p_size"], ["o", "p_partkey"], {"p_retailprice": EVERY[:3]}, hot_rows)
+        ranked = create_window_features(made, ["p_size"], ["o"], {"o": "rank"}, hot_rows)
+        return ranked.select("p_partkey", *(f"p_retailprice_{s}" for s in ("lag1", "lead1", "row_num")), "o_rank")
+
+    return query
+
+
+def _ordered_sql(kind):
+    return f"""SELECT p_partkey, {EVERY_SQL}, rank() OVER (PARTITION BY p_size ORDER BY o) AS o_rank
+        FROM (SELECT *, {ORDERS[kind][1]} AS o FROM part) WINDOW w AS (PARTITION BY p_size ORDER BY o, p_partkey)"""
+
+
+def _two_columns(hot_rows):
+    def query(spark, sf):
+        orders = table(spark, sf, "orders")
+        return create_window_features(orders, ["o_orderstatus"], ["o_orderpriority", "o_orderkey"], {"o_totalprice": EVERY}, hot_rows)
+
+    return query
+
+
+TWO_COLUMNS_SQL = """SELECT *, lag(o_totalprice) OVER w AS o_totalprice_lag1, lead(o_totalprice) OVER w AS o_totalprice_lead1,
+    row_number() OVER w AS o_totalprice_row_num, rank() OVER w AS o_totalprice_rank
+    FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_orderpriority, o_orderkey)"""
+
+
 def _onehot(spark, sf):
     encoded = create_categorical_features(table(spark, sf, "events"), "event_type", "onehot")
     return encoded.select(
@@ -121,6 +162,10 @@ CASES = {
         """SELECT l_returnflag, l_linenumber, l_quantity, l_orderkey,
            rank() OVER (PARTITION BY l_returnflag ORDER BY l_linenumber, l_quantity) AS l_quantity_rank FROM lineitem""",
     ),
+    **{f"win_{kind}_order": (_ordered(kind, HOT_ROWS), _ordered_sql(kind)) for kind in ORDERS},
+    **{f"win_{kind}_order_hot": (_ordered(kind, 10), _ordered_sql(kind)) for kind in ORDERS},
+    "win_two_columns": (_two_columns(HOT_ROWS), TWO_COLUMNS_SQL),
+    "win_two_columns_hot": (_two_columns(400), TWO_COLUMNS_SQL),
     "label_encode_many": (
         lambda spark, sf: create_categorical_features(
             table(spark, sf, "customer").select("c_custkey", "c_name"), "c_name", "label"

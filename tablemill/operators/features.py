@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import OneHotEncoder
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -19,7 +19,10 @@ from ..functions import (
     string_columns,
     timestamp_columns,
 )
-from .windows import HOT_ROWS, create_window_features
+from ..session import materialize, pin
+from .joins import join_on
+from .ordering import chunk_borders, in_chunks
+from .windows import HOT_ROWS
 
 NUMERIC_OPERATIONS = ("sqrt", "log", "square", "reciprocal", "abs")
 
@@ -78,20 +81,15 @@ def create_numerical_features(
 def label_index(df: DataFrame, column: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``(column, label_index)``: 0 for the most frequent label, ties in alphabetical order.
 
-    Labels are numbered within each count and shifted by the labels with higher counts. A table
-    of N rows has at most sqrt(2 N) different counts, so the shift window stays small even when
-    nearly every label is unique.
+    The labels are put in order of count and name by ranges, ``hot_rows`` to a task, and each range is shifted by
+    the labels before it. Runs jobs at once; the ordered labels are stored in the shared folder.
     """
     counts = df.filter(~is_missing(df, column)).groupBy(column).agg(F.count(F.lit(1)).alias("_count"))
-    numbered = create_window_features(counts, ["_count"], [column], {column: "row_number"}, hot_rows)
-    higher = Window.orderBy(F.desc("_count")).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        counts.groupBy("_count")
-        .agg(F.count(F.lit(1)).alias("_labels"))
-        .select("_count", F.coalesce(F.sum("_labels").over(higher), F.lit(0)).alias("_shift"))
-    )
-    index = (F.col("_shift") + F.col(f"{column}_row_num") - 1).cast("double")
-    return numbered.join(shifts, "_count").select(column, index.alias("label_index"))
+    counts = materialize(counts, "label-counts")
+    ordered = in_chunks(counts, [F.desc("_count"), F.col(column)], counts.count(), hot_rows, "labels")
+    shifts = pin(chunk_borders(ordered, []).select("_chunk", "_offset"), "label-shifts")
+    index = (F.col("_offset") + F.col("_place")).cast("double")
+    return join_on(ordered, shifts, ["_chunk"]).select(column, index.alias("label_index"))
 
 
 def create_categorical_features(df: DataFrame, column: str, method: str = "onehot") -> DataFrame:
@@ -107,6 +105,8 @@ def create_categorical_features(df: DataFrame, column: str, method: str = "oneho
     indexed = df.join(labels, column, "left").select(*df.columns, encoded)
     if method == "label":
         return indexed
-    indexed = indexed.withColumnRenamed(encoded, "_index")
+    # The number of labels travels as the column's attribute, so that the encoder needs no pass of its own.
+    size = {"ml_attr": {"type": "nominal", "num_vals": labels.count()}}
+    indexed = indexed.withColumn("_index", F.col(encoded).alias("_index", metadata=size)).drop(encoded)
     encoder = OneHotEncoder(inputCol="_index", outputCol=encoded)
     return encoder.fit(indexed).transform(indexed).drop("_index")

@@ -1,31 +1,24 @@
 """Ordered features within a partition: lag, lead, row number, rank, forward fill, rolling average.
 
-A plain window sorts each partition in one task. A partition above ``hot_rows`` is therefore cut
-into chunks by ranges of its first order column; a single value of that column above ``hot_rows``
-is cut again by the next one. Each chunk runs its own window, and one row per chunk carries the
-offset, or the value at the edge, over to the next. Rows with equal order values share a chunk, so
-ranks stay right.
+A plain window sorts each partition in one task. Partitions above ``hot_rows`` are therefore put in order by
+Spark's range partitioner over their keys and all order columns, and cut into chunks at real values (``in_chunks``).
+Each chunk runs its own window, and one row per chunk carries the offset, or the value at the border, over to the
+next. Rows with equal order values share a chunk, so ranks stay right.
 """
 
 from __future__ import annotations
 
-import math
-import operator
 from collections.abc import Mapping, Sequence
-from functools import partial
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import is_missing, present
 from ..session import pin
 from .joins import join_on, match_rows
+from .ordering import chunk_borders, in_chunks
 
 HOT_ROWS = 10_000_000  # rows of one partition that one task may sort
-MAX_CHUNKS = 4096
-SALTS = 256
 
 # Output names.
 SUFFIXES = {"lag": "lag1", "lead": "lead1", "row_number": "row_num", "rank": "rank"}
@@ -53,33 +46,24 @@ def create_window_features(
         return part.withColumns({f"{c}_{SUFFIXES[f]}": _ranked(c, f, window) for c, f in wanted})
 
     def chunked(part: DataFrame, keys: list[str]) -> DataFrame:
-        order = F.struct(*order_cols)
         row = F.struct(*[F.col(c) for c in functions])
-        edges = part.groupBy(*keys, "_chunk").agg(
-            F.count(F.lit(1)).alias("_rows"), F.min_by(row, order).alias("_first"), F.max_by(row, order).alias("_last")
-        )
         chunks = Window.partitionBy(*keys).orderBy("_chunk")
-        before = chunks.rowsBetween(Window.unboundedPreceding, -1)
-        carried = edges.select(
-            *keys,
-            "_chunk",
-            "_rows",
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
-            F.lag("_last").over(chunks).alias("_previous"),
-            F.lead("_first").over(chunks).alias("_next"),
-        )
-        carried = pin(carried, "chunk-edges")
-        window = Window.partitionBy(*keys, "_chunk").orderBy(*order_cols)
-        local = {f"{c}_{SUFFIXES[f]}": _ranked(c, f, window) for c, f in wanted}
-        rows = join_on(part.withColumns({**local, "_at": F.row_number().over(window)}), carried, [*keys, "_chunk"])
+        borders = chunk_borders(part, keys, row, row)
+        borders = borders.withColumns({"_previous": F.lag("_last").over(chunks), "_next": F.lead("_first").over(chunks)})
+        rows = join_on(part, pin(borders.drop("_first", "_last"), "chunk-borders"), [*keys, "_chunk"])
+        within = Window.partitionBy(*keys, "_chunk")
+        number = F.col("_place") - F.col("_start")
 
         def stitched(column: str, name: str) -> Column:
-            value = F.col(f"{column}_{SUFFIXES[name]}")
+            if name == "row_number":
+                return F.col("_offset") + number + 1
+            if name == "rank":
+                return F.col("_offset") + F.rank().over(within.orderBy(*order_cols))
             if name == "lag":
-                return F.when(F.col("_at") == 1, F.col("_previous")[column]).otherwise(value)
-            if name == "lead":
-                return F.when(F.col("_at") == F.col("_rows"), F.col("_next")[column]).otherwise(value)
-            return value + F.col("_offset")
+                local = F.lag(column).over(within.orderBy("_place"))
+                return F.when(number == 0, F.col("_previous")[column]).otherwise(local)
+            local = F.lead(column).over(within.orderBy("_place"))
+            return F.when(number == F.col("_rows") - 1, F.col("_next")[column]).otherwise(local)
 
         return rows.withColumns({f"{c}_{SUFFIXES[f]}": stitched(c, f) for c, f in wanted})
 
@@ -106,15 +90,16 @@ def forward_fill(
         return part.withColumns({c: F.last(present(c), ignorenulls=True).over(window) for c in names})
 
     def chunked(part: DataFrame, keys: list[str]) -> DataFrame:
-        order = F.struct(*order_cols)
         last = part.groupBy(*keys, "_chunk").agg(
-            *[F.max_by(c, F.when(~is_missing(df, c), order)).alias(f"_carry_{c}") for c in names]
+            *[F.max_by(c, F.when(~is_missing(df, c), F.col("_place"))).alias(f"_carry_{c}") for c in names]
         )
         before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
         carried = last.withColumns(
             {f"_carry_{c}": F.last(f"_carry_{c}", ignorenulls=True).over(before) for c in names}
         )
-        filled = join_on(plain(part, [*keys, "_chunk"]), pin(carried, "chunk-edges"), [*keys, "_chunk"])
+        window = Window.partitionBy(*keys, "_chunk").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+        filled = part.withColumns({c: F.last(present(c), ignorenulls=True).over(window) for c in names})
+        filled = join_on(filled, pin(carried, "chunk-borders"), [*keys, "_chunk"])
         return filled.withColumns({c: F.coalesce(c, f"_carry_{c}") for c in names})
 
     return _run(df, partition_cols, order_cols, hot_rows, plain, chunked).select(*df.columns)
@@ -130,7 +115,7 @@ def rolling_average(
 ) -> DataFrame:
     """Add ``{column}_rolling_avg`` over the current row and ``preceding`` rows before it.
 
-    In a hot partition rows get their row number first and then form blocks of equal size; each
+    In a hot partition rows are numbered by their chunks and places and form blocks of equal size; each
     block also receives the last ``preceding`` rows of the block before it.
     """
     output = f"{column}_rolling_avg"
@@ -141,12 +126,13 @@ def rolling_average(
 
     def chunked(part: DataFrame, keys: list[str]) -> DataFrame:
         size = max(hot_rows, preceding, 1)
-        numbered = create_window_features(part.drop("_chunk"), keys, order_cols, {column: "row_number"}, hot_rows)
-        at = F.col(f"{column}_row_num") - 1
+        numbered = join_on(part, pin(chunk_borders(part, keys), "chunk-borders"), [*keys, "_chunk"])
+        numbered = numbered.withColumn("_number", F.col("_offset") + F.col("_place") - F.col("_start"))
+        at = F.col("_number")
         block = F.floor(at / size)
         copies = F.when(at % size >= size - preceding, F.array(block, block + 1)).otherwise(F.array(block))
         spread = numbered.withColumns({"_home": block, "_block": copies}).withColumn("_block", F.explode("_block"))
-        window = Window.partitionBy(*keys, "_block").orderBy(f"{column}_row_num").rowsBetween(-preceding, 0)
+        window = Window.partitionBy(*keys, "_block").orderBy("_number").rowsBetween(-preceding, 0)
         return spread.withColumn(output, F.avg(present(spread, column)).over(window)).filter("_home = _block")
 
     return _run(df, partition_cols, order_cols, hot_rows, plain, chunked).select(*df.columns, output)
@@ -173,82 +159,10 @@ def _run(df, partition_cols, order_cols, hot_rows, plain, chunked) -> DataFrame:
     if total is None:
         return plain(df, keys)
     hot = hot.drop("_n")
-    part = _with_chunks(match_rows(df, hot, keys, "left_semi"), keys, order_cols, hot_rows, total)
-    result = chunked(part, keys).drop("_chunk")
+    rows = match_rows(df, hot, keys, "left_semi")
+    part = in_chunks(rows, [*keys, *(c for c in order_cols if c not in keys)], total, hot_rows, "chunks")
+    result = chunked(part, keys)
     if keys == ["_all"]:
         return result
     cold = plain(match_rows(df, hot, keys, "left_anti"), keys)
     return cold.unionByName(result.select(*cold.columns))
-
-
-def _with_chunks(
-    df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], hot_rows: int, total: int
-) -> DataFrame:
-    """Add ``_chunk``, a struct that never falls along ``order_cols``, with about equal counts."""
-    parts: list[str] = []
-    tied = F.lit(True)  # rows that agree with a hot value in every order column so far
-    for level, name in enumerate(order_cols):
-        df = _with_ranges(df, name, f"_range_{level}", tied, math.ceil(total / hot_rows))
-        parts.append(f"_range_{level}")
-        prefix = dict.fromkeys([*keys, *order_cols[: level + 1]])
-        counts = df.filter(tied).groupBy(*prefix).agg(F.count(F.lit(1)).alias("_n"))
-        limit = max(hot_rows, total // MAX_CHUNKS)
-        hot = counts.filter(F.col("_n") > limit).collect()  # at most MAX_CHUNKS rows
-        if not hot or level == len(order_cols) - 1:
-            break
-        total = sum(row["_n"] for row in hot)
-        found = {row[name] for row in hot}
-        kind = df.schema[name].dataType
-        values = F.array(*[_typed(v, kind) for v in found if v is not None]).cast(T.ArrayType(kind))
-        value, null_is_hot = F.col(name), None in found
-        present = value.isNotNull()
-        below = F.size(F.filter(values, partial(operator.gt, value))) + int(null_is_hot)
-        equal = F.when(present, F.array_contains(values, value)).otherwise(null_is_hot)
-        df = df.withColumns({f"_below_{level}": F.when(present, below).otherwise(0), f"_equal_{level}": tied & equal})
-        parts += [f"_below_{level}", f"_equal_{level}"]
-        tied = F.col(f"_equal_{level}")
-    return df.withColumn("_chunk", F.struct(*parts)).drop(*parts)
-
-
-def _with_ranges(df: DataFrame, order_col: str, output: str, scope: Column, chunks: int) -> DataFrame:
-    """Add the number of the range that holds ``order_col``; rows outside ``scope`` get 0."""
-    chunks = min(chunks, MAX_CHUNKS)
-    placed = df.withColumn("_position", F.coalesce(_position(df, order_col), F.lit(float("-inf"))))
-    finite = F.col("_position").between(-1.7e308, 1.7e308)
-    size = min(65_535, max(1024, 8 * chunks))
-    sketches = (
-        placed.filter(scope & finite)
-        .groupBy((F.spark_partition_id() % SALTS).alias("_salt"))
-        .agg(F.kll_sketch_agg_double("_position", F.lit(size)).alias("_sketch"))
-    )
-    ranks = F.array(*[F.lit(i / chunks) for i in range(1, chunks)])
-    merged = sketches.agg(F.kll_merge_agg_double("_sketch", F.lit(size)).alias("_sketch"))
-    found = merged.select(F.kll_sketch_get_quantile_double("_sketch", ranks)).first()[0] if chunks > 1 else []
-    splits = [float("-inf"), *sorted(set(found or [])), float("inf")]
-    if len(splits) == 2:
-        return placed.withColumn(output, F.lit(0.0)).drop("_position")
-    bucketizer = Bucketizer(splits=splits, inputCol="_position", outputCol="_bucket", handleInvalid="keep")
-    ranged = bucketizer.transform(placed)
-    return ranged.withColumn(output, F.when(scope, F.col("_bucket")).otherwise(0.0)).drop("_position", "_bucket")
-
-
-def _typed(value: object, kind: T.DataType) -> Column:
-    # A Python datetime would become a timestamp with time zone.
-    return F.lit(str(value) if isinstance(kind, T.TimestampNTZType) else value).cast(kind)
-
-
-def _position(df: DataFrame, name: str) -> Column:
-    """A double that never falls as the column rises."""
-    kind, column = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, (T.NumericType, T.BooleanType)):
-        return column.cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(column).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01'"), column).cast("double")
-    if isinstance(kind, T.StringType):  # the first six bytes, as text sorts by bytes
-        digits = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(digits, 16, 10).cast("double")
-    raise TypeError(f"cannot split a hot partition by {name}: {kind.simpleString()}")

@@ -3,12 +3,14 @@ import math
 
 import pytest
 from pyspark.ml.feature import StringIndexer
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from tablemill import functions as X
 from tablemill.operators import features as E
 from tablemill.operators import windows as W
+from tablemill.operators.ordering import in_chunks
 
 
 @pytest.fixture(scope="module")
@@ -66,7 +68,7 @@ def test_one_hot_order_value(events, order):
     )
     split = W.create_window_features(tied, [], order, ALL, hot_rows=30)
     same(split, W.create_window_features(tied, [], order, ALL))
-    parts = W._with_chunks(tied.withColumn("_all", F.lit(0)), ["_all"], order, 30, tied.count())
+    parts = in_chunks(tied, order, tied.count(), 30)
     assert parts.groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 120
     same(W.forward_fill(tied, order, [], ["x"], hot_rows=30), W.forward_fill(tied, order, [], ["x"]))
 
@@ -85,12 +87,49 @@ def test_no_window_runs_in_a_single_task(uneven):
     assert "SinglePartition" not in text and "BroadcastHashJoin" in text and "_chunk" in text
 
 
-def test_text_order_positions_never_fall(spark):
-    words = ["", "a", "ab", "abcdefg", "abcdefz", "b", "é", "漢字", "zz"]
-    df = spark.createDataFrame([(w,) for w in words], "w string")
-    found = df.orderBy("w").select(W._position(df, "w")).collect()
-    values = [r[0] for r in found]
-    assert values == sorted(values) and len(set(values)) >= 8
+def test_chunks_follow_real_values(spark):
+    """Values with one long prefix, binary, arrays, structs and collated text are cut into even chunks in their own order."""
+    wide = spark.range(4000).select("id", F.format_string("Customer#%019d %s", F.col("id") * 7 % 4000, F.when(F.col("id") % 2 > 0, "x").otherwise("X")).alias("t"))
+    wide = wide.withColumns({
+        "c": F.collate("t", "UTF8_LCASE"), "b": F.unhex(F.md5("t")), "a": F.array(F.substring("t", 1, 12), "t"), "s": F.struct(F.lit(1).alias("n"), "t"),
+    })
+    for column in ["t", "c", "b", "a", "s"]:
+        parts = in_chunks(wide.select(column), [column], 4000, 100)
+        counts = parts.groupBy("_chunk").agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("low"), F.max(column).alias("high"))
+        counts = counts.withColumn("before", F.lag("high").over(Window.orderBy("_chunk")))
+        found = counts.orderBy("_chunk").select("n", (F.col("before") < F.col("low")).alias("after")).collect()
+        assert len(found) > 30 and max(r.n for r in found) <= 300 and sum(r.n for r in found) == 4000
+        assert all(r.after for r in found[1:])
+
+
+@pytest.mark.parametrize("column", ["c", "b", "a", "s"])
+def test_every_orderable_type_above_and_below_the_limit(spark, column):
+    made = spark.range(900).select(
+        "id",
+        (F.col("id") % 2).alias("k"),
+        F.when(F.col("id") % 10 > 0, F.concat(F.when(F.col("id") % 3 > 0, "Label").otherwise("LABEL"), F.lit("  "), (F.col("id") * 11 % 300).cast("string"))).alias("t"),
+    )
+    made = made.withColumns({"c": F.collate("t", "UTF8_LCASE"), "b": F.encode("t", "UTF-8"), "a": F.array("t", F.lit(None)), "s": F.struct("t")})
+    made = made.withColumn("x", F.col("id")).select("k", "id", column, "x")
+    both = [W.create_window_features(made, ["k"], [column, "id"], ALL, hot_rows=n).drop(column) for n in (50, 10**6)]
+    same(*both)
+    ranks = [W.create_window_features(made, ["k"], [column], {"x": "rank"}, hot_rows=n).drop(column) for n in (50, 10**6)]
+    same(*ranks)
+
+
+def test_unique_labels_are_spread(spark):
+    labels = spark.range(2000).select(F.format_string("Customer#%09d", "id").alias("c"))
+    index = E.label_index(labels, "c", hot_rows=100)
+    assert rows(index) == [(f"Customer#{i:09d}", float(i)) for i in range(2000)]
+    ordered = in_chunks(labels.groupBy("c").count(), [F.desc("count"), F.col("c")], 2000, 100)
+    sizes = [r["count"] for r in ordered.groupBy("_chunk").count().collect()]
+    assert len(sizes) > 15 and max(sizes) <= 300
+
+
+def test_the_encoder_reads_no_rows_to_learn_its_size(spark):
+    """The number of labels comes with the column: three labels, although the rows hold one."""
+    encoded = E.create_categorical_features(spark.createDataFrame([("a",)] * 3 + [("b",), ("c",)], "s string"), "s")
+    assert encoded.schema["s_encoded"].metadata["ml_attr"]["num_attrs"] == 2
 
 
 def test_unknown_window_function(uneven):
