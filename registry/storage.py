@@ -109,6 +109,53 @@ def _upsert(spark, sf):
     return read_table(spark, name)
 
 
+# Orders whose date is missing for some keys; the stored ones lack others than the new ones.
+MARKED = "SELECT * REPLACE (CASE WHEN o_orderkey % {n} = 0 THEN NULL ELSE o_orderdate END AS o_orderdate) FROM orders"
+# Keys that are NULL or stand for several orders.
+SHARED_KEYS = "SELECT CASE WHEN o_custkey % 11 = 0 THEN NULL ELSE o_custkey END AS k, o_orderkey, o_orderstatus, o_totalprice FROM orders"
+
+
+def _marked(spark, sf, n):
+    return table(spark, sf, "orders").withColumn("o_orderdate", F.expr(f"CASE WHEN o_orderkey % {n} = 0 THEN NULL ELSE o_orderdate END"))
+
+
+def _null_marks(spark, sf):
+    """Loaded twice: the second time adds nothing."""
+    name, _ = _store(spark, _marked(spark, sf, 10).filter("o_orderstatus <> 'O'"), "marks")
+    for _ in range(2):
+        K.incremental_load(_marked(spark, sf, 7), name, ["o_orderkey"], "o_orderdate")
+    return read_table(spark, name)
+
+
+def _shared(spark, sf):
+    return table(spark, sf, "orders").selectExpr("CASE WHEN o_custkey % 11 = 0 THEN NULL ELSE o_custkey END AS k", "o_orderkey", "o_orderstatus", "o_totalprice")
+
+
+def _incremental_shared(spark, sf):
+    keyed = _shared(spark, sf)
+    name, _ = _store(spark, keyed.filter("o_orderstatus = 'P'"), "shared")
+    for _ in range(2):
+        K.incremental_load(keyed, name, ["k"])
+    return read_table(spark, name)
+
+
+def _upsert_shared(spark, sf):
+    """A table in partitions of its keys; only those with changed keys are written, the second time as the first."""
+    keyed = _shared(spark, sf)
+    name = _name("partitioned")
+    K.keyed_table(keyed.filter("o_orderstatus = 'F'"), name, ["k"], scratch_path(spark, "partitioned"), buckets=16)
+    for _ in range(2):
+        K.upsert_partitions(keyed.filter("o_orderstatus = 'P' AND coalesce(k, 0) % 5 = 0"), name)
+    return read_table(spark, name).drop("_bucket")
+
+
+def _cells(spark, sf):
+    """Orders against a copy with one changed price in a hundred and every thousandth row twice."""
+    orders = table(spark, sf, "orders")
+    changed = orders.withColumn("o_totalprice", F.expr("CASE WHEN o_orderkey % 100 = 7 THEN o_totalprice + 1 ELSE o_totalprice END"))
+    return K.row_differences(orders, changed.unionByName(changed.filter("o_orderkey % 1000 = 8")))
+
+
 def _checks(spark, sf):
     orders = table(spark, sf, "orders")
     name, _ = _store(spark, orders, "checked")
@@ -215,6 +262,34 @@ CASES = {
         """SELECT * FROM orders WHERE o_orderstatus = 'F'
            UNION ALL SELECT * REPLACE (o_totalprice * 2 AS o_totalprice) FROM orders WHERE o_orderstatus <> 'F'""",
     ),
+    "incremental_null_marks": (
+        _null_marks,
+        f"""WITH stored AS ({MARKED.format(n=10)} WHERE o_orderstatus <> 'O'), offered AS ({MARKED.format(n=7)})
+            SELECT * FROM stored UNION ALL SELECT * FROM offered o WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.o_orderkey = o.o_orderkey)
+            UNION ALL SELECT o.* FROM offered o JOIN stored s USING (o_orderkey) WHERE s.o_orderdate IS NULL AND o.o_orderdate IS NOT NULL""",
+    ),
+    "incremental_shared_keys": (
+        _incremental_shared,
+        f"""WITH keyed AS ({SHARED_KEYS}), stored AS (SELECT * FROM keyed WHERE o_orderstatus = 'P')
+            SELECT * FROM stored UNION ALL
+            SELECT * FROM (SELECT * FROM keyed QUALIFY row_number() OVER (PARTITION BY k ORDER BY o_orderkey DESC) = 1) AS one
+            WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.k IS NOT DISTINCT FROM one.k)""",
+    ),
+    "upsert_partitions": (
+        _upsert_shared,
+        f"""WITH keyed AS ({SHARED_KEYS}),
+            changes AS (SELECT * FROM keyed WHERE o_orderstatus = 'P' AND coalesce(k, 0) % 5 = 0 QUALIFY row_number() OVER (PARTITION BY k ORDER BY o_orderkey DESC) = 1)
+            SELECT * FROM changes UNION ALL SELECT * FROM keyed t WHERE o_orderstatus = 'F'
+            AND NOT EXISTS (SELECT 1 FROM changes c WHERE c.k IS NOT DISTINCT FROM t.k)""",
+    ),
+    "cell_differences": (
+        _cells,
+        """WITH changed AS (SELECT * REPLACE (CASE WHEN o_orderkey % 100 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice) FROM orders),
+           twice AS (SELECT * FROM changed UNION ALL SELECT * FROM changed WHERE o_orderkey % 1000 = 8),
+           counted AS (SELECT *, 1 AS l, 0 AS r FROM orders UNION ALL SELECT *, 0, 1 FROM twice)
+           SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, CAST(sum(l) AS BIGINT) AS left_rows,
+                  CAST(sum(r) AS BIGINT) AS right_rows FROM counted GROUP BY ALL HAVING sum(l) <> sum(r)""",
+    ),
     "checksum": (
         _checks,
         """SELECT count(*) AS source_rows, count(*) AS target_rows, true AS counts_match, true AS checksums_match,

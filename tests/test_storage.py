@@ -6,13 +6,15 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from conftest import plan, rows
 from registry.common import TRIP_ORDER
 from registry.common import trips as load_trips
 from tablemill import session
 from tablemill.plans import etl, metrics, trips
 from tablemill.sinks import files as X
 from tablemill.sinks import tables as K
+from tablemill.sinks.checks import differing_hashes
+from tablemill.sinks.state import maybe_stored, table_state
 from tablemill.sources import files as S
 from tablemill.sources import tables as B
 
@@ -92,12 +94,13 @@ def test_column_types():
         "a string, b tinyint, c smallint, d int, e bigint, f float, g double, h boolean, i timestamp, j date, k decimal(12,3), l array<int>, m interval day to second"
     )
     assert [K.sql_type(f.dataType) for f in schema] == [
-        "VARCHAR(255)", "SMALLINT", "SMALLINT", "INTEGER", "BIGINT", "REAL", "DOUBLE PRECISION", "BOOLEAN", "TIMESTAMP",
-        "DATE", "DECIMAL(12,3)", "VARCHAR(255)", "INTERVAL",
+        "TEXT", "SMALLINT", "SMALLINT", "INTEGER", "BIGINT", "REAL", "DOUBLE PRECISION", "BOOLEAN", "TIMESTAMP",
+        "DATE", "DECIMAL(12,3)", "TEXT", "INTERVAL",
     ]
     assert K.create_table_sql("t", T.StructType.fromDDL("a int, b decimal(5,1)")) == "CREATE TABLE t (a INTEGER, b DECIMAL(5,1))"
-    assert K.text_types(schema) == "`a` VARCHAR(255)"
-    T.StructType.fromDDL(K.text_types(schema))  # Spark must be able to read it
+    assert K.sql_type(T.StringType(), 255) == "VARCHAR(255)" and K.sql_type(T.LongType(), 255) == "BIGINT"
+    assert K.text_types(schema) == "" and K.text_types(schema, 255) == "`a` VARCHAR(255)"
+    T.StructType.fromDDL(K.text_types(schema, 255))  # Spark must be able to read it
 
 
 def test_loads_report_counts_and_failures(spark, sample, tmp_path):
@@ -246,3 +249,105 @@ def test_null_and_repeated_keys_load_once(spark):
 def test_checksum_sees_where_nulls_are(spark):
     one, two = (spark.createDataFrame([r], "a int, b int") for r in ((None, 1), (1, None)))
     assert K.checksum(one).first().checksum != K.checksum(two).first().checksum
+
+
+def test_every_difference_is_found(spark):
+    """A changed cell, NULLs that changed places and a repeated row, planted among many equal rows."""
+    left = spark.range(5000).select("id", (F.col("id") * 1.5).alias("x"), F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("s"), F.lit(None).cast("string").alias("t"))
+    right = left.withColumn("x", F.when(F.col("id") == 17, F.lit(-1.0)).when(F.col("id") == 0, F.lit(-0.0)).otherwise(F.col("x")))
+    swap = F.col("id") == 23
+    right = right.select("id", "x", F.when(swap, F.col("t")).otherwise(F.col("s")).alias("s"), F.when(swap, F.col("s")).otherwise(F.col("t")).alias("t"))
+    right = right.unionByName(right.where("id = 40"))
+    assert tuple(K.post_load_checks(left, right).first()) == (5000, 5001, False, False, 5)
+    found = sorted((r["id"], r["left_rows"], r["right_rows"]) for r in K.row_differences(left, right).collect())
+    assert found == [(17, 0, 1), (17, 1, 0), (23, 0, 1), (23, 1, 0), (40, 1, 2)]
+    assert tuple(K.post_load_checks(left, left.repartition(7)).first()) == (5000, 5000, True, True, 0)
+    two = spark.createDataFrame([(1, 2), (3, 4)], "a int, b int"), spark.createDataFrame([(1, 4), (3, 2)], "a int, b int")
+    assert K.post_load_checks(*two).first().different_rows == 4
+    assert tuple(K.post_load_checks(left.limit(0), left.limit(0)).first()) == (0, 0, True, True, 0)
+
+
+def test_the_rows_themselves_are_not_shuffled(spark):
+    left = spark.range(100).select("id", F.format_string("%d", "id").alias("wide"))
+    text = plan(differing_hashes(left, left.where("id > 3")))
+    assert "Exchange" in text and all("wide" not in line for line in text.splitlines() if "Exchange" in line)
+
+
+def incremental_case(spark, name, path):
+    target = spark.createDataFrame([(1, 10, "a"), (2, 20, "b"), (3, None, "c"), (None, 5, "n"), (4, 7, "d"), (4, None, "e")], "id int, at int, s string")
+    K.load_dataframe(target, name, path=str(path))
+    source = [(1, 10, "a"), (2, 15, "old"), (2, 21, "B"), (3, 1, "C"), (None, 6, "N"), (4, None, "x"), (5, None, "new"), (6, 1, "late"), (7, 99, "high"), (5, None, "news")]
+    return target, spark.createDataFrame(source, target.schema)
+
+
+def test_loading_twice_adds_nothing(spark, tmp_path):
+    """NULL keys, NULL marks and repeated keys; late rows of new keys come in below the high-water mark."""
+    target, source = incremental_case(spark, "incremental_twice", tmp_path / "t")
+    want = rows(target.unionByName(spark.createDataFrame([(2, 21, "B"), (3, 1, "C"), (None, 6, "N"), (5, None, "news"), (6, 1, "late"), (7, 99, "high")], target.schema)))
+    for added in (6, 0, 0):
+        stats = K.incremental_load(source, "incremental_twice", ["id"], "at").first()
+        assert (stats.status, stats.output_row_count) == ("SUCCESS", added)
+        assert rows(spark.table("incremental_twice")) == want
+    assert rows(K.incremental_rows(source, spark.table("incremental_twice"), ["id"], "at")) == []
+
+
+def test_the_state_follows_the_files(spark, tmp_path):
+    """A state is kept while the files are the same, grows by new files and is built anew after an overwrite."""
+    target, source = incremental_case(spark, "state_table", tmp_path / "t")
+    first = table_state(spark, "state_table", ["id"], "at")
+    assert table_state(spark, "state_table", ["id"], "at").path == first.path and first.mark(spark) == 20
+    K.load_dataframe(source, "state_table", "append")  # a load that knows nothing of the state
+    second = table_state(spark, "state_table", ["id"], "at")
+    assert (second.rows, second.buckets, second.mark(spark)) == (16, first.buckets, 99)
+    asked = spark.range(1000).select(F.when(F.col("id") > 0, F.col("id")).cast("int").alias("id"))
+    answers = {r["id"]: r["_maybe"] for r in maybe_stored(asked, second.bitmaps(spark), ["id"], second.buckets).collect()}
+    assert all(answers[i] for i in (None, 1, 2, 3, 4, 5, 6, 7)) and sum(answers.values()) < 20
+    K.load_dataframe(target.limit(1), "state_table", "overwrite", str(tmp_path / "t"))
+    assert table_state(spark, "state_table", ["id"], "at").rows == 1
+    assert table_state(spark, "state_table", ["id"]).modified is None
+
+
+def test_a_full_filter_is_built_anew(spark, tmp_path):
+    K.load_dataframe(spark.range(3000), "grown", path=str(tmp_path / "t"))
+    first = table_state(spark, "grown", ["id"])
+    K.load_dataframe(spark.range(3000, 20_000), "grown", "append")
+    second = table_state(spark, "grown", ["id"])
+    assert second.buckets > first.buckets and second.rows == 20_000
+    wrong = maybe_stored(spark.range(30_000, 60_000), second.bitmaps(spark), ["id"], second.buckets).where("_maybe").count()
+    assert wrong < 600 and maybe_stored(spark.range(20_000), second.bitmaps(spark), ["id"], second.buckets).where("NOT _maybe").count() == 0
+
+
+def test_an_append_beside_another_one(spark, tmp_path, monkeypatch):
+    """Rows that another load adds meanwhile are not taken for rows of this one."""
+    K.load_dataframe(spark.range(10), "shared", path=str(tmp_path / "t"))
+    listed, plain = [], K._stored_files
+
+    def meanwhile(session, table):
+        if listed:
+            spark.range(7).write.insertInto("shared")
+        listed.append(table)
+        return plain(session, table)
+
+    monkeypatch.setattr(K, "_stored_files", meanwhile)
+    stats = K.load_dataframe(spark.range(20, 25), "shared", "append").first()
+    assert (stats.status, stats.input_row_count, stats.output_row_count, stats.verified_row_count) == ("SUCCESS", 5, 5, 22)
+
+
+def test_untouched_partitions_keep_their_files(spark, tmp_path):
+    target = spark.createDataFrame([(i, f"v{i}", i) for i in range(200)] + [(None, "n", 0)], "id int, s string, w int")
+    assert K.keyed_table(target, "keyed", ["id"], str(tmp_path / "t"), buckets=16) == 201
+
+    def files():
+        return {tuple(r) for r in spark.table("keyed").select("_bucket", "_metadata.file_name").distinct().collect()}
+
+    before = files()
+    source = spark.createDataFrame([(3, "x"), (500, "new"), (500, "newer"), (None, "m")], "id int, s string")
+    touched = K.upsert_partitions(source, "keyed")
+    after = files()
+    assert 1 <= len(touched) <= 3
+    assert {p for p in before if p[0] not in touched} == {p for p in after if p[0] not in touched}
+    assert not {p for p in before & after if p[0] in touched}
+    want = rows(K.upsert_rows(source, target, ["id"]))
+    assert rows(spark.table("keyed").drop("_bucket")) == want
+    assert K.upsert_partitions(source, "keyed") == touched and rows(spark.table("keyed").drop("_bucket")) == want
+    assert K.upsert_partitions(source.limit(0), "keyed") == []
