@@ -1,9 +1,10 @@
-"""Exact quantiles that never hold one group's values in one task.
+"""Exact quantiles that never hold one group's values in one task. The input is read twice.
 
-``percentile`` keeps a map of all distinct values of a group in memory, so it serves only groups of
-a counted, bounded size. In a larger group a small sketch first brackets each wanted quantile; rows
-outside the brackets collapse to counts on the map side, and only the rows inside are ranked, cell
-by cell. The sketch steers the work, it never decides a result: ranks are counted exactly.
+The first read makes one small sketch per column and group, without a row per cell. It brackets each wanted quantile
+of a large group. The second read counts the distinct values inside the brackets and collapses all others to one
+count per gap on the map side. What is left is stored, put in order by ranges of real values, and ranked chunk by
+chunk; the sketch steers the work, it never decides a result. Groups of a counted, bounded size keep all their
+values, which go to ``percentile`` with their counts.
 """
 
 from __future__ import annotations
@@ -14,13 +15,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import pin
+from ..session import materialize, pin
 from .joins import join_on, match_rows
+from .ordering import in_chunks
 
 SKETCH_K = 4096  # rank error about 0.13 % of the rows
 MARGIN = 0.005  # half width of a bracket, as a fraction of the rows
 SMALL_GROUP = 100_000  # values of a group that one task may hold
-CELLS = 4096  # equal-width cells inside a bracket
+CHUNK = 1_000_000  # distinct values that one task ranks
 SALTS = 256  # partial sketches per group before the last merge
 
 
@@ -34,47 +36,20 @@ def exact_quantiles(
     """Interpolated quantiles as rows ``(*group_cols, column, n, quantiles)``.
 
     ``quantiles`` follows the order of ``probabilities``. Missing values do not count; a group
-    without values gets NULL. The sizes and brackets are computed at once, the result is lazy.
+    without values gets NULL. Jobs run at once: the counted values are stored in the shared folder.
     """
     probabilities = [float(p) for p in probabilities]
-    if group_cols:
-        return _by_group(df, columns, probabilities, list(group_cols), small_group)
-    values = _long_form(df, columns, [])
-    brackets = pin(_brackets(values, ["column"], probabilities).filter(F.col("n") > small_group), "brackets")
-    large = [row["column"] for row in brackets.select("column").collect()]  # some of the columns
-    small = [c for c in columns if c not in large]
-    parts = []
-    if large:
-        parts.append(_large_groups(_long_form(df, large, []), brackets, ["column"], probabilities))
-    if small:
-        parts.append(_small_groups(_long_form(df, small, []), ["column"], probabilities))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _by_group(
-    df: DataFrame, columns: Sequence[str], probabilities: list[float], group_cols: list[str], small_group: int
-) -> DataFrame:
     keys = [*group_cols, "column"]
-    values = _long_form(df, columns, group_cols)
-    sizes = values.groupBy(*keys).agg(F.count("_value").alias("n"))
-    large = pin(sizes.filter(F.col("n") > small_group).drop("n"), "large-groups")
-    if large.isEmpty():
-        return _small_groups(values, keys, probabilities)
-    hot = match_rows(values, large, keys, "left_semi")
-    brackets = pin(_brackets(hot, keys, probabilities), "brackets")
-    rest = match_rows(values, large, keys, "left_anti")
-    return _large_groups(hot, brackets, keys, probabilities).unionByName(_small_groups(rest, keys, probabilities))
-
-
-def _large_groups(values: DataFrame, brackets: DataFrame, keys: list[str], probabilities: list[float]) -> DataFrame:
-    counts = _candidate_counts(values.filter("_value IS NOT NULL"), brackets, keys, probabilities)
-    return _interpolate(_values_at_ranks(counts, keys, probabilities), keys, probabilities)
-
-
-def _small_groups(values: DataFrame, keys: list[str], probabilities: list[float]) -> DataFrame:
-    return values.groupBy(*keys).agg(
-        F.count("_value").alias("n"), F.percentile("_value", probabilities).alias("quantiles")
+    brackets = _brackets(df, columns, probabilities, list(group_cols), small_group)
+    counts = materialize(_value_counts(df, columns, list(group_cols), brackets), "value-counts")
+    small = counts.filter("n IS NULL").groupBy(*keys).agg(
+        F.sum(F.when(F.col("_value").isNotNull(), F.col("_count")).otherwise(0)).alias("n"),
+        F.percentile("_value", probabilities, F.col("_count")).alias("quantiles"),
     )
+    if brackets.isEmpty():
+        return small
+    large = counts.filter("n IS NOT NULL AND _segment IS NOT NULL")
+    return _interpolate(_values_at_ranks(large, keys, probabilities), keys, probabilities).unionByName(small)
 
 
 def approximate_quantiles(
@@ -95,32 +70,33 @@ def approximate_quantiles(
 def _long_form(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
     """One row per cell, NULL where the cell is missing."""
 
-    def present(name: str) -> Column:
-        value = F.col(name).cast("double")
-        return F.when(~F.isnan(value), value)
-
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), present(c).alias("_value")) for c in columns])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), _present(c).alias("_value")) for c in columns])
     return df.select(*group_cols, F.inline(cells))
 
 
-def _brackets(values: DataFrame, keys: list[str], probabilities: list[float]) -> DataFrame:
-    """Per group: row count and, for each probability, values surely at or around its rank.
+def _present(name: str) -> Column:
+    value = F.col(name).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def _brackets(df: DataFrame, columns: Sequence[str], probabilities: list[float], group_cols: list[str], small_group: int) -> DataFrame:
+    """``(*group_cols, column, n, lows, highs)`` of the large groups: values surely at or around each rank.
 
     Sketches merge in two steps, so that the last task of a large group reads ``SALTS`` of them
     and not one per input split.
     """
-    partial = values.filter("_value IS NOT NULL").groupBy(*keys, (F.spark_partition_id() % SALTS).alias("_salt")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("_value").alias("low"),
-        F.max("_value").alias("high"),
-        F.kll_sketch_agg_double("_value", F.lit(SKETCH_K)).alias("sketch"),
-    )
-    merged = partial.groupBy(*keys).agg(
-        F.sum("n").alias("n"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-        F.kll_merge_agg_double("sketch", F.lit(SKETCH_K)).alias("sketch"),
-    )
+    fields = ("n", "low", "high", "sketch")
+    partial = [
+        F.struct(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), F.kll_sketch_agg_double(v, F.lit(SKETCH_K)).alias("sketch")).alias(f"_{i}")
+        for i, v in enumerate(map(_present, columns))
+    ]
+    salted = df.groupBy(*group_cols, (F.spark_partition_id() % SALTS).alias("_salt")).agg(*partial)
+    merge = (F.sum, F.min, F.max, lambda c: F.kll_merge_agg_double(c, F.lit(SKETCH_K)))
+    merged = [
+        F.struct(F.lit(name).alias("column"), *(by(F.col(f"_{i}.{f}")).alias(f) for by, f in zip(merge, fields))).alias(f"_{i}")
+        for i, name in enumerate(columns)
+    ]
+    rows = salted.groupBy(*group_cols).agg(*merged).select(*group_cols, F.inline(F.array(*(f"_{i}" for i in range(len(columns))))))
 
     def at(rank: float, edge: str) -> Column:
         if rank <= 0 or rank >= 1:
@@ -129,58 +105,67 @@ def _brackets(values: DataFrame, keys: list[str], probabilities: list[float]) ->
         return F.when(wide, F.kll_sketch_get_quantile_double("sketch", F.lit(rank))).otherwise(F.col(edge))
 
     ordered = sorted(probabilities)
-    return merged.select(
-        *keys,
+    large = rows.filter(F.col("n") > small_group).select(
+        *group_cols,
+        "column",
         "n",
         F.array(*[at(p - MARGIN, "low") for p in ordered]).alias("lows"),
         F.array(*[at(p + MARGIN, "high") for p in ordered]).alias("highs"),
     )
+    if group_cols:
+        return pin(large, "brackets")
+    return df.sparkSession.createDataFrame(large.collect(), large.schema)  # a row per column
 
 
-def _candidate_counts(values: DataFrame, brackets: DataFrame, keys: list[str], probabilities: list[float]) -> DataFrame:
-    """Counts per distinct value inside a bracket, and one count per gap between brackets.
+def _value_counts(df: DataFrame, columns: Sequence[str], group_cols: list[str], brackets: DataFrame) -> DataFrame:
+    """Counts per distinct value of small groups (``n`` NULL) and inside brackets, and one count per gap between them.
 
     ``_segment`` rises with the value: it adds the brackets begun and the brackets ended. The two
     are equal exactly in a gap, where the value itself is dropped.
     """
-    size = len(probabilities)
-    joined = join_on(values, brackets, keys)
+    keys = [*group_cols, "column"]
+    values = _long_form(df, columns, group_cols)
+    if group_cols:
+        joined = match_rows(values, brackets, keys, "left").drop(*(f"_r_{k}" for k in keys))
+    else:  # the brackets of a few columns are literals
+        found = {row["column"]: row for row in brackets.collect()}
+        parts = {name: brackets.schema[name].dataType for name in ("n", "lows", "highs")}
+
+        def known(part: str) -> Column:
+            whens = [F.when(F.col("column") == c, _literal(row[part])) for c, row in found.items()]
+            return F.coalesce(*whens, F.lit(None)).cast(parts[part])
+
+        joined = values.withColumns({part: known(part) for part in parts})
     value = F.col("_value")
-    begun = reduce(lambda a, b: a + b, [(value >= F.col("lows")[i]).cast("int") for i in range(size)])
-    ended = reduce(lambda a, b: a + b, [(value > F.col("highs")[i]).cast("int") for i in range(size)])
+    begun = F.size(F.filter("lows", lambda low: low <= value))
+    ended = F.size(F.filter("highs", lambda high: high < value))
     located = joined.withColumns({"_begun": begun, "_ended": ended})
-    inside = F.col("_begun") > F.col("_ended")
-    low, high = (F.col(c)[F.col("_begun") - 1] for c in ("lows", "highs"))
-    share = F.coalesce(F.try_divide(value - low, high - low), F.lit(0.0))
-    cell = F.least(F.floor(share * CELLS), F.lit(CELLS))
-    return (
-        located.select(
-            *keys,
-            "n",
-            (F.col("_begun") + F.col("_ended")).alias("_segment"),
-            F.when(inside, cell).alias("_cell"),
-            F.when(inside, value).alias("_value"),
-        )
-        .groupBy(*keys, "n", "_segment", "_cell", "_value")
-        .agg(F.count(F.lit(1)).alias("_count"))
+    segment = F.when(F.col("n").isNotNull() & value.isNotNull(), F.col("_begun") + F.col("_ended"))
+    kept = F.when(F.col("n").isNull() | (F.col("_begun") > F.col("_ended")), value)
+    return located.select(*keys, "n", segment.alias("_segment"), kept.alias("_value")).groupBy(*keys, "n", "_segment", "_value").agg(
+        F.count(F.lit(1)).alias("_count")
     )
 
 
+def _literal(value: object) -> Column:
+    return F.array(*map(F.lit, value)) if isinstance(value, list) else F.lit(value)
+
+
 def _values_at_ranks(counts: DataFrame, keys: list[str], probabilities: list[float]) -> DataFrame:
     """``(*keys, n, _rank, _value)`` for the order statistics on both sides of each quantile."""
-    cells = counts.groupBy(*keys, "n", "_segment", "_cell").agg(F.sum("_count").alias("_count"))
-    # At most (2 * probabilities + 1) * CELLS rows per group reach this window.
-    by_cell = Window.partitionBy(*keys).orderBy("_segment", "_cell").rowsBetween(Window.unboundedPreceding, 0)
+    chunks = in_chunks(counts, [*keys, "n", "_segment", "_value"], counts.count(), CHUNK, "ranked-values")
+    totals = chunks.groupBy(*keys, "n", "_chunk").agg(F.sum("_count").alias("_in_chunk"))
+    by_chunk = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)
     position = [F.lit(p) * (F.col("n") - 1) for p in sorted(set(probabilities))]
     ranks = F.array_distinct(F.array(*[f(p).cast("long") + 1 for p in position for f in (F.floor, F.ceil)]))
     targets = (
-        cells.withColumn("_upto", F.sum("_count").over(by_cell))
+        totals.withColumn("_upto", F.sum("_in_chunk").over(by_chunk))
         .withColumn("_rank", F.explode(ranks))
-        .filter((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_count")))
-        .select(*keys, "_segment", "_cell", "_rank", (F.col("_upto") - F.col("_count")).alias("_before"))
+        .filter((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_in_chunk")))
+        .select(*keys, "_chunk", "_rank", (F.col("_upto") - F.col("_in_chunk")).alias("_before"))
     )
-    hits = join_on(counts, targets, [*keys, "_segment", "_cell"])
-    by_value = Window.partitionBy(*keys, "_rank").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    hits = join_on(chunks, targets, [*keys, "_chunk"])
+    by_value = Window.partitionBy(*keys, "_chunk", "_rank").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     reached = hits.withColumn("_upto", F.col("_before") + F.sum("_count").over(by_value))
     found = reached.filter(
         (F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_count"))

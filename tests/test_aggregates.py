@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from tablemill.operators import aggregates as A
+from tablemill.operators import quantiles
+from tablemill.operators.ordering import in_chunks
 from tablemill.operators.quantiles import approximate_quantiles, exact_quantiles
 
 NAN = float("nan")
@@ -38,6 +40,40 @@ def test_quantiles_equal_percentile(skewed, groups, small_group):
         assert all(math.isclose(a, b, rel_tol=1e-9) for a, b in zip(values or [], want[key] or []))
 
 
+def test_values_over_twelve_magnitudes_are_ranked_in_even_chunks(spark, monkeypatch):
+    """A bracket from 1 to 1e12: no chunk holds more than twice the mean, and the quantiles are exact."""
+    wide = spark.range(60_000).select(F.pow(F.lit(10.0), F.col("id") * 7919 % 60_000 / 5000).alias("x"))
+    sizes = []
+
+    def watched(df, order, rows, chunk_rows, label):
+        made = in_chunks(df, order, rows, 20, label)
+        sizes.extend(r["count"] for r in made.groupBy("_chunk").count().collect())
+        return made
+
+    monkeypatch.setattr(quantiles, "in_chunks", watched)
+    for margin in (0.005, 0.3):
+        monkeypatch.setattr(quantiles, "MARGIN", margin)
+        sizes.clear()
+        found = exact_quantiles(wide, ["x"], [0.25, 0.5, 0.99], small_group=1000).first()["quantiles"]
+        want = wide.agg(F.percentile("x", [0.25, 0.5, 0.99]).alias("q")).first()["q"]
+        assert found == pytest.approx(want, rel=1e-12)
+        assert len(sizes) > 20 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
+@pytest.mark.parametrize("groups", [[], ["g"]])
+def test_the_input_is_read_twice(spark, skewed, groups, tmp_path):
+    skewed.coalesce(1).write.parquet(str(tmp_path / "t"))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        read.add(1)
+        yield from batches
+
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    exact_quantiles(rows.mapInArrow(counted, rows.schema), ["x", "y"], [0.5], groups, 100).collect()
+    assert read.value == 2
+
+
 def test_quantiles_of_few_and_equal_values(spark):
     one = spark.createDataFrame([(3.0,)] * 25, "x double")
     assert exact_quantiles(one, ["x"], [0.1, 0.9], small_group=5).first()["quantiles"] == [3.0, 3.0]
