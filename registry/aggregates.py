@@ -73,7 +73,7 @@ def _histogram(column, bins):
     return lambda spark, sf: round_doubles(A.histogram(trips(spark, sf), column, bins), 6)
 
 
-def _histogram_sql(column, bins, groups=""):
+def histogram_sql(column, bins, groups=""):
     by = f"{groups}, " if groups else ""
     key = f"USING ({groups})" if groups else "ON true"
     group = f"GROUP BY {groups}" if groups else ""
@@ -118,12 +118,12 @@ CASES = {
         f"""{WITH_TRIPS} SELECT vendor_id, {', '.join(f'count(*) FILTER (WHERE passenger_count = {i}) AS "{i}"' for i in range(1, 8))}
             FROM trips GROUP BY vendor_id""",
     ),
-    "hist_30": (_histogram("trip_distance", 30), _histogram_sql("trip_distance", 30)),
-    "hist_fare_50": (_histogram("fare_amount", 50), _histogram_sql("fare_amount", 50)),
-    "hist_speed_25": (_histogram("speed_mph", 25), _histogram_sql("speed_mph", 25)),
+    "hist_30": (_histogram("trip_distance", 30), histogram_sql("trip_distance", 30)),
+    "hist_fare_50": (_histogram("fare_amount", 50), histogram_sql("fare_amount", 50)),
+    "hist_speed_25": (_histogram("speed_mph", 25), histogram_sql("speed_mph", 25)),
     "hist_by_vendor": (
         lambda spark, sf: round_doubles(A.histogram_by_group(trips(spark, sf), "speed_mph", ["vendor_id"], 30), 6),
-        _histogram_sql("speed_mph", 30, "vendor_id"),
+        histogram_sql("speed_mph", 30, "vendor_id"),
     ),
     "describe": (
         lambda spark, sf: round_doubles(A.describe(table(spark, sf, "lineitem"), DESCRIBED), 4),

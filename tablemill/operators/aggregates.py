@@ -110,10 +110,7 @@ def histogram_by_group(df: DataFrame, column: str, group_cols: Sequence[str], bi
     spans = pin(spans.filter("_low IS NOT NULL"), "spans")
     width = (F.col("_high") - F.col("_low")) / bins
 
-    position = F.coalesce(F.try_divide(F.col("_value") - F.col("_low"), width), F.lit(0.0))
-    placed = _with_spans(values, spans, group_cols).select(
-        *group_cols, F.least(F.floor(position), F.lit(bins - 1)).cast("int").alias("bin")
-    )
+    placed = _with_spans(values, spans, group_cols).select(*group_cols, bin_number(F.col("_value"), F.col("_low"), width, bins).alias("bin"))
     counts = placed.groupBy(*group_cols, "bin").agg(F.count(F.lit(1)).alias("_n"))
     every_bin = spans.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     return every_bin.join(counts, [*group_cols, "bin"], "left").select(
@@ -125,6 +122,12 @@ def histogram_by_group(df: DataFrame, column: str, group_cols: Sequence[str], bi
     )
 
 
+def bin_number(value: Column, low: Column, width: Column, bins: int) -> Column:
+    """The bin of a value, from 0; the last one is closed, and NULL has none."""
+    position = F.coalesce(F.try_divide(value - low, width), F.lit(0.0))
+    return F.when(value.isNotNull(), F.least(F.floor(position), F.lit(bins - 1)).cast("int"))
+
+
 def _with_spans(values: DataFrame, spans: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     if group_cols:
         return join_on(values, spans, group_cols)
