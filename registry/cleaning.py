@@ -90,6 +90,15 @@ CLEAN_SQL = f"""SELECT * FROM unique_trips WHERE pickup_datetime IS NOT NULL AND
     AND passenger_count IS NOT NULL AND {VALID}"""
 
 
+# Orders with a whole number and a decimal that have gaps.
+PRICED = """SELECT o_orderkey, CASE WHEN o_orderkey % 4 > 0 THEN o_custkey END AS quantity,
+    CASE WHEN o_orderkey % 3 > 0 THEN CAST(round(o_totalprice, 2) AS DECIMAL(12, 2)) END AS price FROM {orders}"""
+
+
+def _priced(spark, sf):
+    return spark.sql(PRICED, orders=table(spark, sf, "orders"))
+
+
 CASES = {
     "dedup_all": (
         lambda spark, sf: C.remove_duplicates(_twice(spark, sf)),
@@ -136,6 +145,23 @@ CASES = {
         ),
         f"{WITH_GAPPY} SELECT * REPLACE (round(coalesce(value, (SELECT avg(value) FROM gappy)), 6) AS value) FROM gappy",
     ),
+    "fill_decimal": (
+        lambda spark, sf: C.handle_missing_values(_priced(spark, sf), "median", columns=["price"]),
+        f"""WITH priced AS ({PRICED.format(orders='orders')}) SELECT o_orderkey, quantity,
+            coalesce(price, CAST((SELECT median(CAST(price AS DOUBLE)) FROM priced) AS DECIMAL(12, 2))) AS price FROM priced""",
+    ),
+    "fill_bigint_double": (
+        lambda spark, sf: C.handle_missing_values(_priced(spark, sf), "mean", columns=["o_orderkey", "quantity"], whole_numbers="double").withColumn(
+            "quantity", F.round("quantity", 6)
+        ),
+        f"""WITH priced AS ({PRICED.format(orders='orders')}) SELECT CAST(o_orderkey AS DOUBLE) AS o_orderkey,
+            round(coalesce(quantity, (SELECT avg(quantity) FROM priced)), 6) AS quantity, price FROM priced""",
+    ),
+    "fill_bigint_keep": (
+        lambda spark, sf: C.handle_missing_values(_priced(spark, sf), "mean", columns=["o_orderkey", "quantity"], whole_numbers="keep"),
+        f"""WITH priced AS ({PRICED.format(orders='orders')}) SELECT o_orderkey,
+            coalesce(quantity, CAST(round(CAST((SELECT avg(quantity) FROM priced) AS DOUBLE)) AS BIGINT)) AS quantity, price FROM priced""",
+    ),
     "fill_median_tip": (
         lambda spark, sf: C.handle_missing_values(trips(spark, sf), "median", columns=["tip_amount"]),
         f"{WITH_TRIPS} SELECT * REPLACE (coalesce(tip_amount, (SELECT median(tip_amount) FROM trips)) AS tip_amount) FROM trips",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,7 @@ from ..functions import (
     strip_whitespace,
 )
 from ..functions.columns import FLOATING
-from ..session import materialize, observed_rows
+from ..session import materialize
 from .quantiles import exact_quantiles
 
 # The trip key, the columns a trip must have, the passenger limit.
@@ -75,9 +75,14 @@ def handle_missing_values(
     strategy: str = "drop",
     fill_value: Mapping[str, object] | None = None,
     columns: Sequence[str] | None = None,
+    whole_numbers: str | None = None,
 ) -> DataFrame:
     """Strategies ``drop``, ``fill``, ``median`` and ``mean``; see ``forward_fill`` for the ordered one.
 
+    ``whole_numbers`` fixes what a median or mean does to whole-number columns: ``"double"`` makes all of them
+    double, ``"keep"`` keeps their types and rounds the filled number; without it a column becomes double only
+    when it has gaps and its median or mean a fraction.
+
     ``columns`` limits the strategy to some columns (all columns, or all numeric ones, by default).
     """
     if strategy == "drop":
@@ -85,8 +90,14 @@ def handle_missing_values(
     if strategy == "fill":
         return df.fillna(dict(fill_value)) if fill_value else df
     if strategy in ("median", "mean"):
-        names = _with_missing(df, list(columns or numeric_columns(df)))
-        return _fill(df, (_medians if strategy == "median" else _means)(df, names)) if names else df
+        if whole_numbers not in (None, "double", "keep"):
+            raise ValueError(f"unknown rule {whole_numbers!r}")
+        wanted = list(columns or numeric_columns(df))
+        if whole_numbers == "double":
+            whole = [c for c in wanted if isinstance(df.schema[c].dataType, T.IntegralType)]
+            df = df.withColumns({c: F.col(c).cast("double") for c in whole})
+        names = _with_missing(df, wanted)
+        return _fill(df, (_medians if strategy == "median" else _means)(df, names), whole_numbers == "keep") if names else df
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
@@ -111,12 +122,17 @@ def _means(df: DataFrame, columns: list[str]) -> dict[str, float]:
     return {c: row[c] for c in columns if row[c] is not None}
 
 
-def _fill(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
-    """Replace missing cells; decimals keep their type, a whole-number column that receives a fraction becomes double."""
+def _fill(df: DataFrame, values: Mapping[str, float], rounds: bool = False) -> DataFrame:
+    """Replace missing cells; decimals keep their type, a whole-number column that receives a fraction becomes double.
+
+    With ``rounds`` whole-number columns keep theirs, too, and receive the rounded number.
+    """
     filled = {}
     for name, value in values.items():
         kind = df.schema[name].dataType
-        keeps = isinstance(kind, (*FLOATING, T.DecimalType)) or (isinstance(kind, T.IntegralType) and float(value).is_integer())
+        whole = isinstance(kind, T.IntegralType)
+        value = float(round(value)) if whole and rounds else value
+        keeps = isinstance(kind, (*FLOATING, T.DecimalType)) or (whole and float(value).is_integer())
         target = kind if keeps else T.DoubleType()
         filled[name] = F.when(is_missing(df, name), F.lit(value).cast(target)).otherwise(F.col(name).cast(target))
     return df.withColumns(filled) if filled else df
@@ -228,15 +244,28 @@ def clean_trips(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     return convert_types(filter_valid_trips(unique.dropna("any", subset=TRIP_REQUIRED)))
 
 
+def with_copies(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The first row of each key by ``order_by`` (then by the other columns), with its number of rows in ``_copies``.
+
+    Both come out of one aggregate, reduced on the map side, so the number counts each row once however often a
+    task is repeated. NULL keys are one key.
+    """
+    names = list(df.columns)
+    order = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)], *names)
+    kept = df.groupBy(*(F.col(k).alias(f"_k_{k}") for k in keys)).agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+    return kept.select(*(f"_first.{c}" for c in names), "_copies")
+
+
 def clean_data(df: DataFrame, order_by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Cleaned trips and their before / after / removed counts.
 
-    The cleaned table is written once to the shared folder; both counts come from that write.
+    The deduplicated rows are written once to the shared folder with the sizes of their groups. Both counts come
+    from these files, so they hold when tasks, or whole stages, are repeated.
     """
-    before, after = Observation("before"), Observation("after")
-    count = F.count(F.lit(1)).alias("n")
-    cleaned = materialize(clean_trips(df.observe(before, count), order_by).observe(after, count), "clean")
-    return cleaned, removal_counts(df.sparkSession, observed_rows(before), observed_rows(after))
+    unique = materialize(with_copies(df, TRIP_KEY, order_by), "unique")
+    cleaned = convert_types(filter_valid_trips(unique.dropna("any", subset=TRIP_REQUIRED))).drop("_copies")
+    before = unique.agg(F.coalesce(F.sum("_copies"), F.lit(0))).first()[0]
+    return cleaned, removal_counts(df.sparkSession, before, cleaned.count())
 
 
 def removal_counts(spark, before: int, after: int) -> DataFrame:

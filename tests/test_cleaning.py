@@ -151,6 +151,28 @@ def test_clean_data_counts(spark):
     assert tuple(C.removal_counts(spark, 0, 0).first()) == (0, 0, 0, 0.0, 0.0)
 
 
+def test_clean_data_counts_come_from_the_files(spark, sf):
+    """No counter runs inside the plan, so that a repeated task cannot count rows again."""
+    lines = load_trips(spark, sf)
+    first = C.with_copies(lines, ["trip_id"], TRIP_ORDER)
+    assert first.agg(F.sum("_copies")).first()[0] == lines.count()
+    assert rows(first.drop("_copies")) == rows(C.remove_duplicates(lines, ["trip_id"], order_by=TRIP_ORDER))
+    cleaned, counts = C.clean_data(lines, TRIP_ORDER)
+    assert "CollectMetrics" not in plan(first) + plan(cleaned) and counts.first()["before_count"] == lines.count()
+
+
+def test_the_type_of_a_filled_whole_number_can_be_fixed(spark):
+    gaps = spark.createDataFrame([(1, 1), (2, 2), (None, 3)], "a int, b bigint")
+    full = spark.createDataFrame([(1, 1), (3, 2), (2, 3)], "a int, b bigint")
+    for df in (gaps, full):
+        assert [k for _, k in C.handle_missing_values(df, "median", whole_numbers="double").dtypes] == ["double", "double"]
+        assert C.handle_missing_values(df, "median", whole_numbers="keep").dtypes == df.dtypes
+    assert rows(C.handle_missing_values(gaps, "mean", whole_numbers="double")) == [(1.0, 1.0), (1.5, 3.0), (2.0, 2.0)]
+    assert rows(C.handle_missing_values(gaps, "mean", whole_numbers="keep")) == [(1, 1), (2, 2), (2, 3)]
+    with pytest.raises(ValueError):
+        C.handle_missing_values(gaps, "mean", whole_numbers="int")
+
+
 @pytest.mark.parametrize("keep", ["false", "passenger_count > 100"])
 def test_clean_data_on_empty_input(spark, sf, keep):
     cleaned, counts = C.clean_data(load_trips(spark, sf).filter(keep), TRIP_ORDER)
