@@ -14,6 +14,7 @@ from tablemill.sources import files as S
 from tablemill.sources.tables import execute_query, read_table
 
 from .common import TRIP_ORDER, WITH_PREPARED, WITH_TRIPS, round_doubles, table, trips
+from .trips import FULL_METRICS
 
 PERFORMANCE = """SELECT count(*) AS total_trips, count(DISTINCT vendor_id) AS unique_vendors,
     round(avg(trip_distance), 2) AS avg_distance, round(avg(fare_amount), 2) AS avg_fare,
@@ -51,6 +52,19 @@ def _mixed_csv(spark, sf):
     return S.read_with_rejects(spark, path, schema)
 
 
+def _texts_csv(spark, sf):
+    """Documents, whose texts hold quotes and line breaks, with a size that is no number in every fourth."""
+    docs = table(spark, sf, "documents")
+    mixed = docs.withColumn("n_chars", F.when(F.col("doc_id") % 4 == 0, F.lit("n/a")).otherwise(F.col("n_chars").cast("string")))
+    path = X.export_csv(mixed.withColumn("text", F.concat(F.lit('"'), "text", F.lit('",\n'))), scratch_path(spark, "texts") + ".csv")
+    return S.read_with_rejects(spark, path, docs.schema)
+
+
+def _texts_rejected(spark, sf):
+    number = F.regexp_extract("raw_record", r"^(\d+),", 1).cast("bigint")
+    return _texts_csv(spark, sf)[1].select(number.alias("doc_id"), F.regexp_count("raw_record", F.lit("\n")).cast("bigint").alias("breaks"))
+
+
 def _name(prefix):
     return f"{prefix}_{uuid.uuid4().hex}"
 
@@ -185,7 +199,7 @@ def _statistics(spark, sf):
 def _metrics(spark, sf):
     metrics = full_metrics(prepare_trips(trips(spark, sf), TRIP_ORDER))
     path = X.export_json(metrics, scratch_path(spark, "metrics") + ".json")
-    return round_doubles(S.load_data(spark, path, schema=metrics.schema)).select("total_trips", "total_revenue", "tip_rate_pct")
+    return round_doubles(S.load_data(spark, path, schema=metrics.schema))
 
 
 def _json_document(spark, sf):
@@ -202,12 +216,15 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def _inventory(spark, sf):
-    """Rows of each stored table, found by the files the rows come from."""
-    files = [table(spark, sf, name).select(F.col("_metadata.file_path").alias("path")) for name in TABLES]
+    """The stored tables as the file listing names them, with the rows that come from their files."""
+    name = F.regexp_extract("path", r"([^/]+)\.parquet", 1)
+    listed = S.list_objects(spark, sf).select(name.alias("file")).distinct().filter(F.col("file").isin(*TABLES))
+    files = [table(spark, sf, t).select(F.col("_metadata.file_path").alias("path")) for t in TABLES]
     rows = files[0]
     for more in files[1:]:
         rows = rows.unionByName(more)
-    return rows.groupBy(F.regexp_extract("path", r"([^/]+)\.parquet", 1).alias("file")).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = rows.groupBy(name.alias("file")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return listed.join(counts, "file", "left").select("file", F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"))
 
 
 REGION_SQL = """SELECT r_name, count(*) AS customers, round(avg(c_acctbal), 2) AS avg_balance
@@ -241,6 +258,14 @@ CASES = {
         lambda spark, sf: _mixed_csv(spark, sf)[1].select("raw_record"),
         "SELECT p_partkey || ',n/a' AS raw_record FROM part WHERE p_size > 25",
     ),
+    "csv_accepted_texts": (
+        lambda spark, sf: _texts_csv(spark, sf)[0],
+        """SELECT * REPLACE ('"' || text || '",' || chr(10) AS text) FROM documents WHERE doc_id % 4 <> 0""",
+    ),
+    "csv_rejected_texts": (
+        _texts_rejected,
+        "SELECT doc_id, CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS BIGINT) AS breaks FROM documents WHERE doc_id % 4 = 0",
+    ),
     "table_overwrite": (_overwrite, "SELECT * FROM orders"),
     "table_append": (_append, "SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'F'"),
     "load_stats": (
@@ -304,10 +329,6 @@ CASES = {
         f"{WITH_TRIPS}, p AS ({PERFORMANCE}) SELECT (SELECT count(*) FROM trips) AS total_records, total_trips AS filtered_records, p.* FROM p",
     ),
     "statistics_export": (_statistics, f"{WITH_TRIPS} {PERFORMANCE}"),
-    "metrics_export": (
-        _metrics,
-        f"""{WITH_PREPARED} SELECT count(*) AS total_trips, round(sum(total_amount), 2) AS total_revenue,
-            round(sum(tip_amount) / sum(fare_amount) * 100, 2) AS tip_rate_pct FROM prepared""",
-    ),
+    "metrics_export": (_metrics, f"{WITH_PREPARED} {FULL_METRICS.format(source='prepared')}"),
     "file_inventory": (_inventory, " UNION ALL ".join(f"SELECT '{t}' AS file, count(*) AS n_rows FROM {t}" for t in TABLES)),
 }

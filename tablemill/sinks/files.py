@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..sources.files import s3a_path
+from ..sources.records import CsvDialect
 
 ISO_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 TIME_OPTIONS = {"timestampFormat": ISO_TIMESTAMP, "timestampNTZFormat": ISO_TIMESTAMP}
@@ -12,7 +13,7 @@ TIME_OPTIONS = {"timestampFormat": ISO_TIMESTAMP, "timestampNTZFormat": ISO_TIME
 
 def export_csv(df: DataFrame, path: str, mode: str = "error") -> str:
     """With header; quotes inside a value are doubled, so that line breaks and quotes read back."""
-    df.write.mode(mode).options(header=True, escape='"', **TIME_OPTIONS).csv(path)
+    df.write.mode(mode).options(**CsvDialect().options(), **TIME_OPTIONS).csv(path)
     return path
 
 

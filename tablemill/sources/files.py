@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
+from .records import CsvDialect, csv_records
 
 FORMATS = {".csv": "csv", ".json": "json", ".parquet": "parquet"}
 CORRUPT = "_corrupt_record"
@@ -44,11 +45,45 @@ def load_data(
 def load_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, **options: object) -> DataFrame:
     """Header row, types from ``schema`` or inferred; quotes inside a value are doubled, as the exporter writes them.
 
-    A quoted value may hold line breaks, so a file is read by one task; a folder of part files is read in
-    parallel. ``multiLine=False`` lets Spark split large files whose values hold no line break.
+    Quoted values may hold line breaks. With a ``schema`` large files are split all the same: a first read finds
+    out whether such values occur, then Spark's own reader or ``csv_records`` reads the splits (both at once when
+    called). Without a schema, or with ``multiLine=True``, one task reads a file; ``multiLine=False`` skips the
+    first read for files whose values hold no line break.
     """
-    reader = spark.read.options(**{"header": True, "escape": '"', "multiLine": True, **options})
-    return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+    dialect = _dialect(options)
+    plain = {**dialect.options(), **options}
+    if schema is None:
+        return spark.read.options(**{"multiLine": True, **plain}).option("inferSchema", True).csv(path)
+    if "multiLine" not in options and not (NOT_SPLIT & options.keys()):
+        records = csv_records(spark, path, dialect)
+        if records is not None:
+            return _parsed(records, _struct(schema), options).select("_row.*")
+        plain = {**plain, "multiLine": False}
+    return spark.read.options(**{"multiLine": True, **plain}).schema(schema).csv(path)
+
+
+# Reader options under which a line cannot be judged by the dialect alone.
+NOT_SPLIT = {"escape", "lineSep", "encoding", "charset", "comment", "recursiveFileLookup", "pathGlobFilter"}
+
+
+def _dialect(options: dict[str, object]) -> CsvDialect:
+    header = str(options.get("header", True)).lower() == "true"
+    return CsvDialect(str(options.get("sep", options.get("delimiter", ","))), str(options.get("quote", '"')), header)
+
+
+def _struct(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def _parsed(records: DataFrame, schema: T.StructType, options: dict[str, object]) -> DataFrame:
+    """``records`` with ``_row``, the fields of each record; those that do not convert are NULL."""
+    text = {**_dialect(options).options(), "multiLine": True, "mode": "PERMISSIVE", **options}
+    text = {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in text.items() if k != "header"}
+    return records.withColumn("_row", F.from_csv("record", _ddl(schema), text))
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 def load_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None, **options: object) -> DataFrame:
@@ -100,15 +135,22 @@ def read_with_rejects(
 ) -> tuple[DataFrame, DataFrame]:
     """Parsed records, and those that do not fit ``schema`` with their raw text.
 
-    The files are parsed once, into the shared folder: parsing text again for each side costs
-    more, and Spark lets no query read the raw text alone from the files.
+    A CSV record may hold quoted line breaks and is judged, and kept, as a whole. The files are parsed once, into
+    the shared folder: parsing text again for each side costs more.
     """
     defaults = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    extended = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    lines = None
     if file_format == "csv":
         # A pruned scan would judge a record by the selected columns only.
-        defaults |= {"header": True, "columnPruning": False}
-    extended = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = spark.read.format(file_format).schema(extended).options(**{**defaults, **options}).load(path)
-    records = materialize(parsed.withColumn("path", F.input_file_name()), "parsed")
+        defaults |= {**_dialect(options).options(), "columnPruning": False, "multiLine": False}
+        if "multiLine" not in options and not (NOT_SPLIT & options.keys()):
+            lines = csv_records(spark, path, _dialect(options))
+    if lines is not None:
+        parsed = _parsed(lines, extended, {"columnNameOfCorruptRecord": CORRUPT, **options}).select("_row.*", "path")
+    else:
+        parsed = spark.read.format(file_format).schema(extended).options(**{**defaults, **options}).load(path)
+        parsed = parsed.withColumn("path", F.input_file_name())
+    records = materialize(parsed, "parsed")
     good = records.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "path")
     return good, records.filter(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "raw_record")
