@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablemill.operators.ordering import chunk_borders, in_chunks
+
 from .common import materialize
 from .text import _BYTE, _ODD, buffers, mix, slices
 
@@ -304,19 +306,34 @@ def _compare(least: int):
     return run
 
 
+def _numbered_texts(own: DataFrame) -> DataFrame:
+    """``own`` with ``id`` replaced by the number of its (id, text) in order of id and the text's SHA-256."""
+    keyed = own.withColumn("_sha", F.sha2("text", 256))
+    pairs = materialize(keyed.select(F.col("id").alias("_id"), F.col("_sha").alias("_s")).distinct(), "texts")
+    ordered = in_chunks(pairs, ["_id", "_s"], pairs.count(), 1 << 20, "numbered-texts")
+    borders = chunk_borders(ordered, []).select(F.col("_chunk").alias("_c"), "_offset")
+    numbers = ordered.join(borders, F.col("_chunk") == F.col("_c")).select("_id", "_s", (F.col("_offset") + F.col("_place")).alias("_number"))
+    joined = keyed.join(numbers, (F.col("id") == F.col("_id")) & (F.col("_sha") == F.col("_s")))
+    return materialize(joined.select("doc_id", F.col("_number").alias("id"), "text"), "texts")
+
+
 def remove_repeats(docs: DataFrame, least: int = 100) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` for each row of ``docs`` (``doc_id, text``).
 
     Every byte covered by a string of ``least`` bytes that also starts earlier (smaller id, or the same
     document further left) is removed; ``kept`` are the other bytes, joined. Null text counts as empty, a
-    null id as the smallest. Texts shorter than ``least`` stay whole. Rows repeated in id and text have equal
-    results; rows that share an id but not the text are taken as one document, whose removed places hold for
-    each of them. Other columns are ignored; an empty table gives an empty result. Anchors are shuffled
-    once, texts twice; what lies between is stored.
+    null id as the smallest. Texts shorter than ``least`` stay whole. Rows repeated in id and text are one
+    document and have equal results; different texts that share an id, null ids among them, are documents of their
+    own, ordered by SHA-256 of the text. Other columns are ignored; an empty table gives an empty result; a text
+    is read whole, whatever its length. Anchors are shuffled once, texts twice (three times where ids are shared);
+    what lies between is stored.
     """
     if least < ANCHOR:
         raise ValueError(f"least must be {ANCHOR} or more")
     own = docs.select("doc_id", F.coalesce("doc_id", F.lit(-(2**63))).cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = own.groupBy("id").agg(F.min(F.xxhash64("text")).alias("low"), F.max(F.xxhash64("text")).alias("high"))
+    if not texts.where("low <> high").isEmpty():
+        own = _numbered_texts(own)
     found = own.select("id", "text").mapInArrow(_all_runs(least), FOUND_SCHEMA)
     # Runs that are known to be repeated only pass through.
     by_anchor = found.repartition(F.coalesce("anchor", F.xxhash64("id", "first"))).sortWithinPartitions("anchor", "context", "id", "first")

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import json
 import os
+import re
 
 import numpy as np
 
 # The splitting pattern of the vocabulary (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# The blanks of the pattern (Unicode's White_Space, a fixed value), in runs that its matcher has trouble with.
+LONG_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 
 
 def _byte_names() -> dict[str, int]:
@@ -51,5 +54,19 @@ class ByteBpe:
         if self.plain is None or any(s in text for s in self.special):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         else:
-            ids = self.plain.encode_ordinary(text)
+            ids = self._ids(text)
         return np.array(ids, dtype="<u4").tobytes()
+
+    def _ids(self, text: str) -> list[int]:
+        """The pattern tries a run of blanks at every length, too deep for very long ones: these are cut out here.
+
+        All of a run but its last blank (which may belong to the next word) is one piece; at the end of the text the
+        whole run is.
+        """
+        ids, at = [], 0
+        for run in LONG_RUN.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            ids += self.plain.encode_ordinary(text[at : run.start()])
+            ids += self.plain._encode_single_piece(text[run.start() : end])
+            at = end
+        return ids + self.plain.encode_ordinary(text[at:])
