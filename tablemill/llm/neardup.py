@@ -7,8 +7,9 @@ differ, which tells similarities near 1 apart precisely, so only pairs that shar
 are close are compared on their full sets.
 
 A group of thousands of near copies does not become pairs: first every member is compared with one member of
-its bands, the one that shares most bands with others (as the original of many copies does), then only members
-of a band that are still in different components are.
+its bands, the one that shares most bands with others (as the original of many copies does). Then the members of
+a band that are still outside its main component meet all others of the band in cells of up to ``CELL`` by ``CELL``
+members: sketches first, then the texts of those that have a partner there, each shipped once to a cell.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ WORDS64 = BITS // 64
 # Most differing bits at which a pair is still compared: over four standard deviations above the mean at a
 # similarity of 0.8 (371 bits), as at a similarity of 0.74. A pair of similarity 0.8 shares no band with a chance below 1e-7.
 MOST_BITS = 470
+# Members of a band on each side of a cell.
+CELL = 1024
 
 _RNG = np.random.default_rng(20240501)
 _MULTIPLY = (_RNG.integers(0, 2**32, SAMPLES, dtype=np.uint32) | np.uint32(1)).astype(np.uint32)
@@ -131,6 +134,118 @@ def confirm_links(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int,
     return spread.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+CELL_KEY = ["band", "outer", "inner"]
+
+
+def _cells(batches):
+    """The consecutive rows of each cell, in batches sorted by CELL_KEY, as one table."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        keys = np.stack([batch.column(k).to_numpy() for k in CELL_KEY], axis=1)
+        if not len(keys):
+            continue
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        if held and (np.array([held[0].column(k)[0].as_py() for k in CELL_KEY]) != keys[0]).any():
+            yield pa.concat_tables(held).combine_chunks()
+            held = []
+        bounds = [0, *cuts.tolist(), len(keys)]
+        for first, last in zip(bounds[:-1], bounds[1:]):
+            held.append(pa.Table.from_batches([batch.slice(first, last - first)]))
+            if last < len(keys):
+                yield pa.concat_tables(held).combine_chunks()
+                held = []
+    if held:
+        yield pa.concat_tables(held).combine_chunks()
+
+
+def _partners(percent: int):
+    """Per cell the members outside the main component with their likely partners, and these partners."""
+    names = [*CELL_KEY, "role", "rep", "partners"]
+
+    def run(batches):
+        for cell in _cells(batches):
+            role, size, part, rep = (cell[c].to_numpy() for c in ("role", "n_shingles", "part", "rep"))
+            left, right = np.flatnonzero(role == 1), np.flatnonzero(role == 0)
+            if not len(left) or not len(right):
+                continue
+            odd = np.stack([cell[f"o{i}"].to_numpy() for i in range(WORDS64)], axis=1).view(np.uint64)
+            bands = cell["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+            band, main = cell["band"][0].as_py(), cell["main"].to_numpy()
+            found: dict[int, list[int]] = {}
+            for x in left:
+                y = right
+                close = 100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])
+                # A pair of two outer members is taken from the smaller one.
+                y = y[close & (part[y] != part[x]) & ((part[y] == main[y]) | (rep[x] < rep[y]))]
+                y = y[np.bitwise_count(odd[y] ^ odd[x]).sum(axis=1, dtype=np.int64) <= MOST_BITS]
+                if len(y):
+                    # Pairs that share several bands are taken in the first one.
+                    shared = np.where((bands[y][:, :, None] == bands[x]).any(axis=2), bands[y], np.iinfo(np.int64).max).min(axis=1)
+                    y = y[shared == band]
+                if len(y):
+                    found[int(x)] = y.tolist()
+            if not found:
+                continue
+            wanted = sorted({j for many in found.values() for j in many})
+            rows = [*found, *wanted]
+            taken = cell.take(rows).select([*CELL_KEY, "role", "rep"])
+            lists = pa.array([rep[found[x]].tolist() for x in found] + [None] * len(wanted), pa.list_(cell.schema.field("rep").type))
+            yield from taken.append_column("partners", lists).select(names).combine_chunks().to_batches()
+
+    return run
+
+
+def _confirm(shingle: int, percent: int):
+    """Per cell, partners first: the links whose full sets reach the similarity."""
+
+    def run(batches):
+        at, sets = None, {}
+        for batch in batches:
+            out = []
+            keys = zip(*(batch.column(k).to_pylist() for k in CELL_KEY))
+            lists = (batch.column(c).to_pylist() for c in ("role", "rep", "partners"))
+            for key, role, rep, partners, found in zip(keys, *lists, shingle_sets(batch.column("text"), shingle)):
+                if key != at:
+                    at, sets = key, {}
+                if role == 0:
+                    sets[rep] = found
+                    continue
+                for other in partners:
+                    both = len(np.intersect1d(found, sets[other], assume_unique=True))
+                    if both and 100 * both >= percent * (len(found) + len(sets[other]) - both):
+                        out.append((min(rep, other), max(rep, other)))
+            kind = batch.schema.field("rep").type
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kind) for i in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def links_across(docs: DataFrame, inside: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links ``a, b`` between members of a band of which one at least is outside the band's main component.
+
+    ``inside`` has ``band, rep, part, main, n_shingles, bands`` and the sketch. Each cell holds up to about ``CELL``
+    outer members and ``CELL`` of all, so that ``g`` members with ``o`` outer ones take ``2 g o / CELL`` rows.
+    """
+    kind = dict(inside.dtypes)["rep"]
+    outer = F.col("part") != F.col("main")
+    sizes = inside.groupBy(F.col("band").alias("_band")).agg(
+        F.ceil(F.count(F.lit(1)) / CELL).alias("inners"), F.ceil(F.count_if(outer) / CELL).alias("outers")
+    )
+    dealt = inside.join(sizes, F.col("band") == F.col("_band")).drop("_band")
+    every = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    own = lambda n: F.array(F.pmod(F.xxhash64("rep"), F.col(n)))
+    sides = dealt.withColumn("side", F.explode(F.array(F.struct(F.lit(0).alias("role"), every("outers").alias("o"), own("inners").alias("i")), F.when(outer, F.struct(F.lit(1).alias("role"), own("outers").alias("o"), every("inners").alias("i"))))))
+    sides = sides.where("side IS NOT NULL").withColumns({"role": F.col("side.role"), "outer": F.explode("side.o")})
+    sides = sides.withColumn("inner", F.explode("side.i")).drop("side", "outers", "inners")
+    cells = sides.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY)
+    schema = f"band long, outer long, inner long, role int, rep {kind}, partners array<{kind}>"
+    wanted = materialize(cells.mapInArrow(_partners(percent), schema), "partners")
+    # The members wanted grow with the documents, so the plan is the same at every size.
+    texts = docs.select("doc_id", "text").join(wanted.hint("merge"), F.col("doc_id") == F.col("rep")).drop("doc_id")
+    texts = texts.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY, "role", "rep")
+    return texts.mapInArrow(_confirm(shingle, percent), f"a {kind}, b {kind}").distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (``doc_id, text``).
 
@@ -173,17 +288,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     mixed = placed.groupBy("band", "part").agg(F.count(F.lit(1)).alias("n"))
     mixed = mixed.groupBy("band").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     inside = materialize(placed.join(mixed.select("band", "main"), "band").join(sets.select("rep", "n_shingles", "bands", *own), "rep"), "mixed")
-    # Each pair of different components has a member outside the band's main component. It is made once: from
-    # that member, from the smaller of two such members, and in the first of the bands it shares.
-    once = (F.col("x.part") != F.col("y.part")) & ((F.col("y.part") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep")))
-    first_band = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.band")
-    across = (
-        inside.where("part <> main").alias("x")
-        .join(inside.alias("y"), (F.col("x.band") == F.col("y.band")) & once & _comparable("x", "y", percent) & first_band)
-        .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
-        .distinct()
-    )
-    second = materialize(confirm_links(docs, materialize(across, "across"), shingle, percent), "links")
+    second = materialize(links_across(docs, inside, shingle, percent), "links")
     parts = materialize(connected_components(first.unionByName(second)), "parts")
 
     named = sets.select(*(F.col(c).alias(f"_{c}") for c in key), "rep").join(parts, F.col("rep") == F.col("node"), "left")
