@@ -274,14 +274,14 @@ def small_model(known, pairs=None):
     # Classes without words have no chance.
     weights["c"] = np.where(np.arange(scoring.CLASSES) < 5, weights["c"], -60).astype(np.float32)
     speller = scoring.Speller(path, np.random.default_rng(2).integers(0, 5, (scoring.VOCABULARY + 1,) * 2))
-    return scoring.Model(words, weights, share, speller, 0.5, 10, pairs or (np.empty(0, np.int64),) * 2)
+    return scoring.Model(words, weights, share, speller, 0.5, 10, pairs or (*(np.empty(0, np.int64),) * 2, np.zeros(len(known) + 2)))
 
 
 def test_scores_are_probabilities():
     """After any beginning, the chances of the end, all known words and all other words are 1 together."""
     known = [b"w%d" % k for k in range(9)]
     size = len(known) + 2
-    pairs = np.array([0 * size + 1, 0 * size + 4, 3 * size + 3, (size - 1) * size + 2]), np.array([3, 1, 5, 2])
+    pairs = np.array([0 * size + 1, 0 * size + 4, 3 * size + 3, (size - 1) * size + 2]), np.array([3, 1, 5, 2]), np.arange(size) + 6.0
     model = small_model(known, pairs)
     for begin in ([], [b"w0"], [b"w0", b"w3"], [b"w1", b"other", b"w1"], [b"w2", b"other", b"w0"] * 30):
         before = model.parts([begin])[0]
