@@ -1,10 +1,11 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-A source whose target is ``r`` times its size gives every document ``floor(r)`` certain copies. One more
-copy goes to documents drawn with inclusion probability ``p = r - floor(r)``: each document gets the key
+Each document of a source is due a number of copies in proportion to its weight, ``max_copies`` at most,
+so that the words due in a source are its target. A document due ``d`` copies gets ``floor(d)`` certain ones. One
+more copy goes to documents drawn with inclusion probability ``p = d - floor(d)``: each document gets the key
 ``odds(U) / odds(p)`` with ``U`` uniform from its id, and the smallest keys are taken until the source's
-rest in words is filled (the sample size is fixed in words). With ``weight`` the copies a document is due
-vary within a source, and so do the inclusion odds.
+rest in words is filled (the sample size is fixed in words). By default a document weighs the logarithm of
+its size, so inclusion odds differ within a source and longer documents are more often repeated.
 """
 
 from __future__ import annotations
@@ -52,28 +53,35 @@ def _uniform(seed: int) -> Column:
     return (F.pmod(F.xxhash64(F.lit(seed), _id()), F.lit(1 << 52)) + 0.5) / float(1 << 52)
 
 
-def _due(narrow: DataFrame, totals: DataFrame, max_copies: int, rounds: int) -> DataFrame:
-    """Copies each document is due (``_due``), proportional to its weight, ``max_copies`` at most.
+def _classed(weight: Column) -> Column:
+    """The weight to the nearest quarter power of two, so that a source has few different ones; 0 if not positive."""
+    known = weight.cast("double")
+    finite = (known > 0) & (known < float("inf"))
+    return F.when(finite, F.pow(F.lit(2.0), F.round(4 * F.log2(F.when(finite, known))) / 4)).otherwise(0.0)
 
-    What a capped document leaves over goes to the others of its source by weight, in ``rounds`` passes.
+
+def copies_due(narrow: DataFrame, totals: DataFrame, max_copies: int) -> DataFrame:
+    """``narrow`` with its source's totals and ``_due``, the copies each document is due.
+
+    ``_due`` is ``least(max_copies, level * weight)``, with the level of a source at which its words due are its target.
+    The windows run over the weight classes of a source: heavier ones are at the cap first, and
+    the level is that of the heaviest class which stays below it. Sums start from whole numbers per class in a fixed
+    order, so reruns agree.
     """
-    state = narrow.join(
-        totals.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left"
-    ).drop("_s")
-    if not rounds:
-        return state.withColumn("_due", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
-    state = state.withColumn("_due", F.lit(0.0))
-    for _ in range(rounds):
-        free = F.col("_due") < max_copies
-        open_rows = state.groupBy(F.col("source").alias("_s")).agg(
-            F.sum(F.when(free, F.col("size") * F.col("_weight")).otherwise(0.0)).alias("_open"),
-            F.sum(F.when(~free, F.col("size") * F.lit(float(max_copies))).otherwise(0.0)).alias("_closed"),
-        )
-        joined = state.join(open_rows, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-        wanted = F.when(F.col("_open") > 0, (F.col("target") - F.col("_closed")) * F.col("_weight") / F.col("_open")).otherwise(0.0)
-        state = joined.withColumn("_due", F.when(free, F.least(F.lit(float(max_copies)), wanted)).otherwise(F.col("_due")))
-        state = materialize(state.drop("_open", "_closed"), "mix")
-    return state
+    classes = narrow.where("_weight > 0").groupBy("source", "_weight").agg(F.sum("size").alias("_words"))
+    classes = classes.join(totals.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    lighter = Window.partitionBy("source").orderBy("_weight")
+    heavier = Window.partitionBy("source").orderBy(F.desc("_weight")).rowsBetween(Window.unboundedPreceding, -1)
+    open_words = F.sum(F.col("_words") * F.col("_weight")).over(lighter.rowsBetween(Window.unboundedPreceding, 0))
+    closed = F.coalesce(F.sum("_words").over(heavier), F.lit(0)) * max_copies
+    tried = classes.withColumn("_level", F.when(open_words > 0, (F.col("target") - closed) / open_words))
+    held = F.col("_level") * F.col("_weight") <= max_copies
+    levels = tried.groupBy(F.col("source").alias("_s")).agg(F.max_by("_level", F.when(held, F.col("_weight"))).alias("_level"))
+    named = totals.join(levels, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s").withColumnRenamed("source", "_s")
+    state = narrow.join(named, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
+    # Without a level even the lightest class is at the cap.
+    due = F.least(F.lit(float(max_copies)), F.coalesce(F.col("_level") * F.col("_weight"), F.lit(float(max_copies))))
+    return state.withColumn("_due", F.when((F.col("source_size") > 0) & (F.col("_weight") > 0), due).otherwise(0.0)).drop("_level")
 
 
 def mix_sources(
@@ -82,20 +90,25 @@ def mix_sources(
     max_copies: int = 3,
     weight: Column | None = None,
     seed: int = 20,
-    rounds: int = 4,
 ) -> DataFrame:
     """Copies per document: ``doc_id, source, size, source_size, target, copies, taken``.
 
     ``docs`` has ``doc_id, source, text``; other columns are ignored. Size is the number of words, null text
     counts as empty, a null source is a source of its own, a null id sorts first. Rows that agree in id and
     source are taken or left together. Documents without words follow their key like any other. An empty
-    table gives an empty result. ``weight`` (positive, per document) makes inclusion unequal within a source.
+    table gives an empty result; a text of any length is one row of its size. ``weight`` is an expression over ``docs``,
+    used to the nearest quarter power of two; ``F.lit(1.0)`` gives the documents of a source equal odds, without it a
+    document weighs ``log2(size + 2)``. Documents with a null weight, or one that is not positive and finite, get no copy;
+    a source whose other documents cannot fill its target stays below it.
     Runs one job that stores ids and sizes; texts are read once.
     """
-    base = docs.select("doc_id", "source", word_count("text").alias("size"), (weight if weight is not None else F.lit(1.0)).cast("double").alias("_weight"))
-    narrow = materialize(base, "sizes")
+    given = [_classed(weight).alias("_weight")] if weight is not None else []
+    sized = docs.select("doc_id", "source", word_count("text").alias("size"), *given)
+    if weight is None:
+        sized = sized.withColumn("_weight", _classed(F.log2(F.col("size") + 2)))
+    narrow = materialize(sized, "sizes")
     totals = source_targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_copies)
-    due = _due(narrow, totals, max_copies, 0 if weight is None else rounds)
+    due = copies_due(narrow, totals, max_copies)
     whole = F.floor("_due")
     p = F.col("_due") - whole
     u = _uniform(seed)
@@ -155,13 +168,20 @@ def mix_sources(
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with each row as often as the mix takes it; documents without a copy go.
 
-    Row copies that agree in id and source stay together, as in ``mix_sources``.
+    Row copies that agree in id and source stay together, as in ``mix_sources``. An empty table gives an empty one;
+    columns may have any name.
     """
-    copies = mix_sources(docs, **options).groupBy("doc_id", "source").agg(F.max("copies").alias("_copies"))
-    copies = copies.where("_copies > 0").withColumnsRenamed({"doc_id": "_mix_id", "source": "_mix_source"})
+    taken = [c.lower() for c in docs.columns]
+    mark = "_copies"
+    while mark in taken:
+        mark += "_"
+    copies = mix_sources(docs, **options).groupBy("doc_id", "source").agg(F.max("copies").alias("n"))
+    copies = copies.where("n > 0").select(F.struct(F.col("doc_id").alias("id"), "source", "n").alias(mark))
     joined = docs.join(
         copies,
-        docs["doc_id"].eqNullSafe(copies["_mix_id"]) & docs["source"].eqNullSafe(copies["_mix_source"]),
-    ).drop("_mix_id", "_mix_source")
+        docs["doc_id"].eqNullSafe(copies[mark]["id"]) & docs["source"].eqNullSafe(copies[mark]["source"]),
+    )
+    # Exploding in a select of its own leaves every column of the documents as it is.
     names = [F.col(f"`{c}`") for c in docs.columns]
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*names)
+    repeated = joined.select(*names, F.explode(F.sequence(F.lit(1), F.col(f"{mark}.n").cast("int"))).alias(mark))
+    return repeated.select(*names)
