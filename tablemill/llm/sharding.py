@@ -31,6 +31,11 @@ def _bits(start: int, width: int) -> Column:
     return parts[0] if len(parts) == 1 else parts[0].bitwiseOR(parts[1])
 
 
+def _width(n_bytes: int, limit: int) -> int:
+    """Bits for a pass over cells of at most ``n_bytes``: shards of the limit, and 4 more for uneven ones."""
+    return max(1, min(STEP, math.ceil(math.log2(max(1.0, n_bytes / limit))) + 4))
+
+
 def shard_documents(docs: DataFrame, limit: int, key: str = "doc_id") -> DataFrame:
     """``doc_id, n_bytes, depth, prefix, row_prefix, shard_docs, shard_bytes`` for each row of ``docs``.
 
@@ -50,7 +55,7 @@ def shard_documents(docs: DataFrame, limit: int, key: str = "doc_id") -> DataFra
     narrow = narrow.withColumn("_row", F.shiftleft("_row", ROW_BITS - 52).bitwiseOR(F.col("_row").bitwiseAND(255)))
     open_rows = materialize(narrow, "sizes")
     total = open_rows.agg(F.sum("n_bytes")).first()[0] or 0
-    width = max(1, min(STEP, math.ceil(math.log2(max(1.0, total / limit))) + 4))
+    width = _width(total, limit)
     start, path, done = 0, [], []
     while start < KEY_BITS + ROW_BITS:
         width = min(width, KEY_BITS + ROW_BITS - start)
@@ -79,10 +84,14 @@ def shard_documents(docs: DataFrame, limit: int, key: str = "doc_id") -> DataFra
                 F.col("shard.n").alias("shard_docs"), F.col("shard.b").alias("shard_bytes"),
             )
         )
-        left = materialize(joined.where(F.col("shard").isNull()).drop("shard"), "open")
-        if left.isEmpty():
+        open_rows, path, start = materialize(joined.where(F.col("shard").isNull()).drop("shard"), "open"), [*path, cell], start + width
+        heaps = open_rows.groupBy(*path).agg(F.sum("n_bytes").alias("b"), (F.min("_hash") < F.max("_hash")).cast("int").alias("mixed"))
+        largest, mixed = heaps.agg(F.max("b"), F.max("mixed")).first()
+        if largest is None:
             break
-        open_rows, path, start, width = left, [*path, cell], start + width, STEP
+        # Bits that the largest open cell needs; cells of one hash each differ in the row numbers only.
+        width = _width(largest, limit)
+        start = start if mixed else max(start, KEY_BITS)
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
