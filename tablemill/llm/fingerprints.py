@@ -10,10 +10,11 @@ hash, and comparisons use the smaller range of the two.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import mix
@@ -94,13 +95,25 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - cut] + following[:cut] if cut else text
 
 
+def _upto(value: Column, bounds: list, kind: str) -> Column:
+    """How many of the ascending ``bounds`` are not above ``value``: blocks first, then one block's bounds."""
+    size = math.isqrt(len(bounds) - 1) + 1
+    blocks = [bounds[k : k + size] for k in range(0, len(bounds), size)]
+    literal = lambda values: F.array(*(F.lit(b).cast(kind) for b in values))
+    before = F.size(F.filter(literal(b[0] for b in blocks), lambda e: e <= value)) - 1
+    table = F.array(*(literal(b) for b in blocks))
+    inside = F.size(F.filter(F.element_at(table, before + 1), lambda e: e <= value))
+    return F.when(before < 0, F.lit(0)).otherwise(before * size + inside)
+
+
 def fingerprint_documents(docs: DataFrame, per_bucket: int = 5_000) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`` per row.
 
     The next document is the one of the next larger id; the last is followed by the first. Rows that repeat
     an id follow each other by text, rows with a null id come last. A null text counts as empty; an empty
-    text has an empty fingerprint. Other columns are ignored; an empty table gives an empty result. One job
-    counts ids and picks bounds between buckets; texts are then shuffled once.
+    text has an empty fingerprint. Other columns are ignored; an empty table gives an empty result. Rows of one id
+    are read by one task, as are those of a null id, one text at a time. One job counts ids and picks bounds between
+    buckets, among which an id is found in blocks; texts are then shuffled once.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     kind = dict(docs.dtypes)["doc_id"]
@@ -115,8 +128,7 @@ def fingerprint_documents(docs: DataFrame, per_bucket: int = 5_000) -> DataFrame
     # Bucket k holds the ids from bounds[k - 1] up to bounds[k]; null ids are in the last one.
     bucket = F.when(F.col("doc_id").isNull(), F.lit(len(bounds)))
     if bounds:
-        edges = F.array(*(F.lit(b).cast(kind) for b in bounds))
-        bucket = bucket.otherwise(F.size(F.filter(edges, lambda e: e <= F.col("doc_id"))))
+        bucket = bucket.otherwise(_upto(F.col("doc_id"), bounds, kind))
     else:
         bucket = bucket.otherwise(F.lit(0))
     placed = docs.withColumn("bucket", bucket)
