@@ -78,6 +78,8 @@ def copies_due(narrow: DataFrame, totals: DataFrame, max_copies: int) -> DataFra
     held = F.col("_level") * F.col("_weight") <= max_copies
     levels = tried.groupBy(F.col("source").alias("_s")).agg(F.max_by("_level", F.when(held, F.col("_weight"))).alias("_level"))
     named = totals.join(levels, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s").withColumnRenamed("source", "_s")
+    # One stored row a source: its size is known, so the planner need not shuffle documents by source.
+    named = materialize(named, "levels")
     state = narrow.join(named, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     # Without a level even the lightest class is at the cap.
     due = F.least(F.lit(float(max_copies)), F.coalesce(F.col("_level") * F.col("_weight"), F.lit(float(max_copies))))
@@ -153,7 +155,7 @@ def mix_sources(
         F.col("_id").alias("_last_id"),
         (F.col("_upto") - F.col("_rest") <= F.col("_rest") - (F.col("_upto") - F.col("_words"))).alias("_in"),
     )
-    result = keyed.join(last, F.col("source").eqNullSafe(F.col("_s")), "left")
+    result = keyed.join(materialize(last, "cuts"), F.col("source").eqNullSafe(F.col("_s")), "left")
     before = (F.col("_key") < F.col("_last_key")) | ((F.col("_key") == F.col("_last_key")) & (F.col("_id") < F.col("_last_id")))
     at = (F.col("_key") == F.col("_last_key")) & (F.col("_id") == F.col("_last_id")) & F.col("_in")
     # A source whose words never reach the rest (rounding) gives all it has.
