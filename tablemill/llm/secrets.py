@@ -44,6 +44,9 @@ ALPHABETS = {
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
     "mixed": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/-_",
 }
+SPANS = "array<struct<from:int,upto:int,rank:int,found:string>>"
+# Spans that are added one by one, as each step copies what it has.
+BLOCK = 128
 # Lower ends of the length classes, and the grid of p-value thresholds.
 LENGTHS = (20, 24, 32, 48, 64, 128, 512)
 GRID = (0.0001, 0.0002, 0.0005, 0.001, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.5)
@@ -59,30 +62,83 @@ def _located(text: Column, pattern: str, kind: str, group: int | None = None) ->
         value,
         lambda s, v: F.struct(s["gap"].alias("gap"), s["len"].alias("len"), v.alias("found")),
     )
-    spans = F.aggregate(
-        steps,
-        F.struct(
-            F.lit(0).alias("at"),
-            F.array().cast("array<struct<from:int,upto:int,rank:int,found:string>>").alias("out"),
-        ),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + s["len"]).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(
-                    F.struct(
-                        (acc["at"] + s["gap"]).alias("from"),
-                        (acc["at"] + s["gap"] + s["len"]).alias("upto"),
-                        F.lit(KINDS.index(kind)).alias("rank"),
-                        s["found"].alias("found"),
-                    )
-                ),
-            ).alias("out"),
-        ),
+    def place(acc: Column, step: Column) -> Column:
+        upto = acc["at"] + step["gap"] + step["len"]
+        span = F.struct(
+            (acc["at"] + step["gap"]).alias("from"), upto.alias("upto"), F.lit(KINDS.index(kind)).alias("rank"), step["found"].alias("found")
+        )
+        return F.struct(upto.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+
+    def joined(blocks: Column) -> Column:
+        starts = _before(F.transform(blocks, lambda b: b["at"]), lambda at, n: at + n)
+        return F.flatten(F.zip_with(blocks, starts, lambda b, at: F.transform(b["out"], lambda x: _moved(x, at))))
+
+    start = F.struct(F.lit(0).alias("at"), _no_spans().alias("out"))
+    blocks = _let(steps, lambda st: F.transform(_block_numbers(st), lambda g: F.aggregate(_block(st, g), start, place)))
+    return F.when(text.rlike(pattern), _let(blocks, joined)).otherwise(_no_spans())
+
+
+def _no_spans() -> Column:
+    return F.array().cast(SPANS)
+
+
+def _moved(span: Column, by: Column) -> Column:
+    return F.struct((span["from"] + by).alias("from"), (span["upto"] + by).alias("upto"), span["rank"].alias("rank"), span["found"].alias("found"))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, also where ``use`` names it in a lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _block_numbers(items: Column) -> Column:
+    return F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")))
+
+
+def _block(items: Column, number: Column, more: int = 0) -> Column:
+    return F.slice(items, number * BLOCK + 1, F.lit(BLOCK + more))
+
+
+def _before(values: Column, combine) -> Column:
+    """For each whole number what ``combine`` makes of 0 and all numbers before it."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(
+        values, start,
+        lambda acc, v: F.struct(combine(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
         lambda acc: acc["out"],
     )
-    empty = F.array().cast("array<struct<from:int,upto:int,rank:int,found:string>>")
-    return F.when(text.rlike(pattern), spans).otherwise(empty)
+
+
+def _untouched(tokens: Column, others: Column) -> Column:
+    """``tokens``, none inside another, that overlap none of ``others``: a sweep by start, in blocks.
+
+    A token waits until the next span, as one that begins inside it would be that one. A block knows how far
+    the spans before it reach, and looks at the first one after it.
+    """
+    token = lambda x: x["rank"] == KINDS.index("random")
+    upto = lambda x: F.when(token(x), 0).otherwise(x["upto"])
+
+    def step(acc: Column, x: Column) -> Column:
+        new = F.when(acc["reach"] > x["from"], _no_spans()).otherwise(F.array(x))
+        left = F.filter(acc["waiting"], lambda w: w["upto"] <= x["from"])
+        return F.struct(
+            F.greatest(acc["reach"], upto(x)).alias("reach"),
+            F.when(token(x), new).otherwise(left).alias("waiting"),
+            F.when(token(x), F.concat(acc["out"], acc["waiting"])).otherwise(acc["out"]).alias("out"),
+        )
+
+    def swept(items: Column) -> Column:
+        reaches = F.transform(_block_numbers(items), lambda g: F.aggregate(_block(items, g), F.lit(0), lambda m, x: F.greatest(m, upto(x))))
+
+        def block(reach: Column, g: Column) -> Column:
+            after = F.get(items, (g + 1) * BLOCK)
+            start = F.struct(reach.alias("reach"), _no_spans().alias("waiting"), _no_spans().alias("out"))
+            ended = lambda acc: F.concat(acc["out"], F.filter(acc["waiting"], lambda w: after.isNull() | (w["from"] < after["from"])))
+            return F.aggregate(_block(items, g, more=1), start, step, ended)
+
+        return F.flatten(F.transform(_before(reaches, F.greatest), block))
+
+    return F.when(F.size(others) == 0, tokens).otherwise(_let(F.array_sort(F.concat(others, tokens)), swept))
 
 
 def _encoding(token: Column) -> Column:
@@ -110,15 +166,24 @@ def _with_tokens(df: DataFrame, text: str) -> DataFrame:
     """Adds ``_token``, an array of (from, upto, rank, found): runs and pieces to be tested, none inside another."""
     coded = lambda spans: F.filter(spans, lambda t: _encoding(t["found"]).isNotNull())
     apart = lambda spans, others: F.filter(spans, lambda t: ~F.exists(others, lambda o: (o["from"] < t["upto"]) & (t["from"] < o["upto"])))
-    out = df.withColumn("_all", F.filter(_located(F.col(text), TOKEN, "random"), lambda t: _mixed(t["found"])))
-    out = out.withColumn("_token", coded("_all"))
-    # A text whose runs are all tested as a whole has no pieces to look for.
-    left = F.size("_token") < F.size("_all")
-    nothing = F.array().cast("array<struct<from:int,upto:int,rank:int,found:string>>")
+    runs = F.filter(_located(F.col(text), TOKEN, "random"), lambda t: _mixed(t["found"]))
+    whole = lambda r: _encoding(r["found"]).isNotNull()
+    state = lambda run, whole, tokens: F.struct(run.alias("run"), whole.alias("whole"), tokens.alias("tokens"))
+    out = df.withColumn("_runs", F.transform(runs, lambda r: state(r, whole(r), F.when(whole(r), F.array(r)).otherwise(_no_spans()))))
+
+    def cut(pattern: str):
+        """Adds a run's pieces of one pattern; no piece crosses from one run to another."""
+
+        def pieces(w: Column) -> Column:
+            found = F.transform(coded(_located(w["run"]["found"], pattern, "random")), lambda p: _moved(p, w["run"]["from"]))
+            return state(w["run"], w["whole"], F.when(w["whole"], w["tokens"]).otherwise(F.concat(w["tokens"], apart(found, w["tokens"]))))
+
+        return pieces
+
     for pattern in PIECES:
-        out = out.withColumn("_piece", F.when(left, coded(_located(F.col(text), pattern, "random"))).otherwise(nothing))
-        out = out.withColumn("_token", F.concat("_token", apart("_piece", F.col("_token"))))
-    return out.withColumn("_token", F.concat("_token", apart("_all", F.col("_token")))).drop("_all", "_piece")
+        out = out.withColumn("_runs", F.transform("_runs", cut(pattern)))
+    tested = F.transform("_runs", lambda w: F.when(F.size(w["tokens"]) > 0, w["tokens"]).otherwise(F.array(w["run"])))
+    return out.withColumn("_token", F.flatten(tested)).drop("_runs")
 
 
 def _tail(z: Column) -> Column:
@@ -209,7 +274,8 @@ def scan_secrets(docs: DataFrame, fdr: float = 0.1, carry: bool = False) -> Data
 
     ``spans`` is an array of (from, upto, rank): code points, end exclusive, rank indexes KINDS, sorted.
     A null or empty text has no span; repeated rows are scanned each on their own; ties in ``from`` are
-    ordered by rank. Other columns are ignored. Stores spans and tested tokens in one job, then applies
+    ordered by rank. Other columns are ignored; an empty table gives an empty result. Work grows with the length of a text
+    and its number of spans, save inside a single run, whose pieces are compared with each other. Stores spans and tested tokens in one job, then applies
     the thresholds.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -222,7 +288,7 @@ def scan_secrets(docs: DataFrame, fdr: float = 0.1, carry: bool = False) -> Data
     })
     base = _with_tokens(base, "_text")
     base = base.withColumn("_base", F.concat("_assign", "_access", "_hex"))
-    free = F.filter("_token", lambda t: ~F.exists("_base", lambda b: (b["from"] < t["upto"]) & (t["from"] < b["upto"])))
+    free = _untouched(F.col("_token"), F.col("_base"))
     narrow = F.transform("_base", lambda s: F.struct(s["from"].alias("from"), s["upto"].alias("upto"), s["rank"].alias("rank")))
     stored = materialize(
         base.select("doc_id", *keep, narrow.alias("_base"), free.alias("_token"), F.monotonically_increasing_id().alias("_row")),
