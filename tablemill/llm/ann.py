@@ -29,6 +29,8 @@ MOST_CENTROIDS = 2048
 SHARE = 0.4
 # Entries, and queries, that are compared together.
 BLOCK, CHUNK = 4096, 512
+# Queries whose cells one task walks.
+WALKS = 256
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -112,12 +114,18 @@ def nearest_neighbours(vectors: DataFrame, queries, k: int = 5, entries: int = 2
 
     indexed = materialize(entries_of.select("ids", "v").mapInArrow(index, f"cell long, ids array<{kind}>, v array<double>"), "index")
     held = indexed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    counted = {r["cell"]: r["n"] for r in held.collect()}  # at most MOST_CENTROIDS squared, and one per entry
-    asked = materialize(rows.where("q").select("vec_id", "v").dropDuplicates(["vec_id"]), "queries")
-    chunks = -(-asked.count() // CHUNK)
     right_size = len(books[1])
+    # Entries per cell, 4 bytes each: at most MOST_CENTROIDS squared of them, 16 MB.
+    filled = held.toArrow()
+    per_cell = np.zeros(len(books[0]) * right_size, np.uint32)
+    per_cell[filled.column("cell").to_numpy()] = filled.column("n").to_numpy()
+    shared = vectors.sparkSession.sparkContext.broadcast(per_cell)
+    asked = materialize(rows.where("q").select("vec_id", "v").dropDuplicates(["vec_id"]), "queries")
+    n_asked = asked.count()
+    chunks = -(-n_asked // CHUNK)
 
     def walk(batches):
+        counted = shared.value
         for batch in batches:
             rows, lists, cells, chunk = [], [], [], []
             for row, v in enumerate(_unit(_stack(batch.column("v"))) if batch.num_rows else []):
@@ -125,7 +133,7 @@ def nearest_neighbours(vectors: DataFrame, queries, k: int = 5, entries: int = 2
                 right = ((books[1] - v[half:]) ** 2).sum(axis=1)
                 met, visited = 0, {}
                 for i, j in cells_by_distance(left, right):
-                    size = counted.get(int(i) * right_size + int(j))
+                    size = int(counted[int(i) * right_size + int(j)])
                     if size:
                         visited.setdefault(int(i), []).append(int(j))
                         met += size
@@ -142,7 +150,8 @@ def nearest_neighbours(vectors: DataFrame, queries, k: int = 5, entries: int = 2
             columns = [batch.column("vec_id").take(picked), pa.array(lists, pa.int64()), pa.array(cells, pa.list_(pa.int64())), pa.array(chunk, pa.int64()), batch.column("v").take(picked)]
             yield pa.RecordBatch.from_arrays(columns, names=["query_id", "list", "cells", "chunk", "qv"])
 
-    visits = asked.mapInArrow(walk, f"query_id {kind}, list long, cells array<long>, chunk long, qv array<double>")
+    # The queries are a small file, the walk is not: tasks of WALKS queries.
+    visits = asked.repartition(-(-n_asked // WALKS) or 1, "vec_id").mapInArrow(walk, f"query_id {kind}, list long, cells array<long>, chunk long, qv array<double>")
     visits = materialize(visits, "visits")
     listed = indexed.withColumn("list", F.floor(F.col("cell") / right_size)).withColumn("cell", F.col("cell") % right_size)
     blocks = listed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("n"))
