@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 PLACES = 33  # low bits of monotonically_increasing_id
+TASKS = 200  # chunks of fewer than LARGE rows that one table is cut into
+LARGE = 1_000_000  # rows that are worth a task of their own, however many tasks there are
 
 
 def in_chunks(df: DataFrame, order: Sequence[str | Column], rows: int, chunk_rows: int, label: str = "ordered") -> DataFrame:
@@ -18,10 +20,13 @@ def in_chunks(df: DataFrame, order: Sequence[str | Column], rows: int, chunk_row
 
     Spark's range partitioner picks the borders from sampled values of the whole order tuple, so any type and
     collation that Spark can sort may be used, and rows that agree in every order column share a chunk. About
-    ``chunk_rows`` of the ``rows`` rows go to each, and there is no limit to their number. The result is
-    written to the shared folder: every later step, and every repeated task, sees the same chunks.
+    ``chunk_rows`` of the ``rows`` rows go to each. A chunk is a task and a file, and the borders of all chunks are
+    known to every task, so a small ``chunk_rows`` is raised until ``TASKS`` chunks, or chunks of ``LARGE`` rows, hold
+    the table; beyond that there is no limit to their number. The result is written to the shared folder: every
+    later step, and every repeated task, sees the same chunks.
     """
-    chunks = max(1, math.ceil(rows / max(1, chunk_rows)))
+    wanted = max(1, chunk_rows, min(LARGE, math.ceil(rows / TASKS)))
+    chunks = max(1, math.ceil(rows / wanted))
     ordered = df.repartitionByRange(chunks, *order).sortWithinPartitions(*order)
     stored = materialize(ordered.withColumn("_chunk", F.monotonically_increasing_id()), label)
     place = F.col("_chunk").bitwiseAND((1 << PLACES) - 1)

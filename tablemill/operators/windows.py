@@ -1,7 +1,8 @@
 """Ordered features within a partition: lag, lead, row number, rank, forward fill, rolling average.
 
 A plain window sorts each partition in one task. Partitions above ``hot_rows`` are therefore put in order by
-Spark's range partitioner over their keys and all order columns, and cut into chunks at real values (``in_chunks``).
+Spark's range partitioner over their keys and all order columns, and cut into chunks at real values (``in_chunks``),
+of ``hot_rows`` rows or, where these would make needlessly many tasks, of more.
 Each chunk runs its own window, and one row per chunk carries the offset, or the value at the border, over to the
 next. Rows with equal order values share a chunk, so ranks stay right.
 """

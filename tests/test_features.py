@@ -102,6 +102,16 @@ def test_chunks_follow_real_values(spark):
         assert all(r.after for r in found[1:])
 
 
+def test_small_chunks_do_not_make_a_task_each(spark):
+    """The number of tasks does not follow the rows while a chunk is small, and the results stay those of a plain window."""
+    made = spark.range(1200).select((F.col("id") % 3).alias("k"), (F.col("id") * 7 % 400).alias("o"), "id", F.col("id").cast("double").alias("x"))
+    parts = in_chunks(made, ["k", "o"], 1200, 2)
+    assert parts.groupBy("_chunk").count().count() <= 200 and len(parts.inputFiles()) <= 200 and parts.count() == 1200
+    assert in_chunks(made, ["k", "o"], 1200, 100).groupBy("_chunk").count().count() > 8  # larger chunks stay as asked for
+    same(*(W.create_window_features(made, ["k"], ["o", "id"], ALL, hot_rows=n) for n in (2, 10**6)))
+    same(*(W.rolling_average(made, "x", ["k"], ["o", "id"], 3, hot_rows=n) for n in (2, 10**6)))
+
+
 @pytest.mark.parametrize("column", ["c", "b", "a", "s"])
 def test_every_orderable_type_above_and_below_the_limit(spark, column):
     made = spark.range(900).select(
