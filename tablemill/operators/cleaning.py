@@ -39,15 +39,23 @@ def remove_duplicates(
     subset: Sequence[str] | None = None,
     keep: str = "first",
     order_by: Sequence[str] | None = None,
+    copies: str | None = None,
 ) -> DataFrame:
     """One row per distinct row, or per distinct ``subset``.
 
     A table has no row order, so ``keep`` only acts together with ``order_by``; without it any
     row of each key survives. Both forms reduce on the map side before the shuffle (partial
     aggregation, or a partial group limit of one row), so a hot key sends one row per task.
+
+    ``copies`` names a column that tells how many rows each distinct row stands for; for a ``subset`` see
+    ``with_copies``.
     """
     if keep not in ("first", "last"):
         raise ValueError(f"keep must be 'first' or 'last', not {keep!r}")
+    if copies is not None:
+        if subset is not None:
+            raise ValueError("copies are counted for whole rows")
+        return df.groupBy(*(F.col(f"`{c}`") for c in df.columns)).agg(F.count(F.lit(1)).alias(copies))
     if subset is None:
         return df.dropDuplicates()
     if order_by is None:

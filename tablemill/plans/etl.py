@@ -43,21 +43,23 @@ def run_flow(
 ) -> FlowResult:
     """Load → transform → store → report.
 
-    A failed load or transform ends the run; a failed store does not stop the report. The
-    distinct rows are written once to the shared folder, as the medians and the final write both
-    read them. Row counts come from these two writes.
+    A failed load or transform ends the run; a failed store does not stop the report. The source is
+    read once: its distinct rows are written to the shared folder with the number of rows each stands for,
+    and the check, the count, the medians and the final write read them there.
     """
     log = StepLog(spark)
     result = FlowResult(log.frame(), log.frame())
     try:
         with log.step("load") as loaded:
             df = load_data(spark, source, **options) if isinstance(source, str) else source
-            if not validate_data(df):
+            # The count comes from the files: a counter before the shuffle counts rows again when a task is repeated.
+            distinct = materialize(remove_duplicates(df, copies="_copies"), "distinct")
+            if not validate_data(distinct):
                 raise ValueError("the source holds no rows")
+            loaded.rows_in = loaded.rows_out = distinct.agg(F.sum("_copies")).first()[0]
         with log.step("transform") as transformed:
-            # A count of its own: a counter before the shuffle counts rows again when a task is repeated.
-            loaded.rows_in = loaded.rows_out = transformed.rows_in = df.count()
-            clean = transform(materialize(remove_duplicates(df), "distinct"))
+            transformed.rows_in = loaded.rows_out
+            clean = transform(distinct.drop("_copies"))
         with log.step("db_load") as stored:
             result.load_stats = load_dataframe(clean, table, "overwrite", path)
             stats = result.load_stats.first()

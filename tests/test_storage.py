@@ -351,3 +351,21 @@ def test_untouched_partitions_keep_their_files(spark, tmp_path):
     assert rows(spark.table("keyed").drop("_bucket")) == want
     assert K.upsert_partitions(source, "keyed") == touched and rows(spark.table("keyed").drop("_bucket")) == want
     assert K.upsert_partitions(source.limit(0), "keyed") == []
+
+
+def test_a_flow_computes_its_source_once(spark, tmp_path):
+    """Checking, counting and deduplicating share one pass: the source leaves a trace for each row it is computed from."""
+    seen = spark.sparkContext.accumulator(0)
+    given = [(1, 2, 5.0), (1, 2, 5.0), (2, 9, None), (3, 4, None), (3, 4, None)]
+
+    def traced(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = spark.createDataFrame(given, "id int, passenger_count int, x double")
+    source = source.mapInArrow(traced, source.schema)
+    result = etl.run_flow(spark, source, "once", str(tmp_path / "once"))
+    steps = [(r.row_count_input, r.row_count_output) for r in result.metrics.collect()]
+    assert steps == [(5, 5), (5, 2), (2, 2)] and seen.value == 5
+    assert sorted((r.id, r.x) for r in result.table.collect()) == [(1, 5.0), (3, 5.0)]
