@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_missing
+from ..session import materialize
 from .quantiles import approximate_quantiles, exact_quantiles
 
 
@@ -28,12 +29,15 @@ def remove_outliers(
 
     ``iqr`` keeps ``q1 - t * iqr <= x <= q3 + t * iqr``; ``zscore`` keeps ``|x - mean| / std < t``.
     By default all bounds come from the input. With ``sequential`` the bounds of a column come
-    from the rows that survived the columns before it: one more pass over the input per column,
-    so give it a stored table. ``accuracy`` switches the quartiles to ``percentile_approx``.
+    from the rows that survived the columns before it. Its passes, two per column for exact quartiles and one for
+    the result, read a copy that is stored once, so that a join below ``df`` is not run for each of them.
+    ``accuracy`` switches the quartiles to ``percentile_approx``.
     """
     rules = {"iqr": lambda d, c: _iqr_rules(d, c, threshold, accuracy), "zscore": lambda d, c: _z_rules(d, c, threshold)}
     if method not in rules:
         raise ValueError(f"unknown method {method!r}")
+    if sequential and columns:
+        df = materialize(df, "outliers")
     for batch in [[c] for c in columns] if sequential else [list(columns)]:
         df = df.filter(reduce(lambda a, b: a & b, rules[method](df, batch)))
     return df

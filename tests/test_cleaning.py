@@ -198,6 +198,19 @@ def test_outliers_and_missing_values_go(outlying, method, sequential):
     assert [r.a for r in kept.orderBy("a").collect()] == [float(x) for x in range(20)]
 
 
+@pytest.mark.parametrize("method", ["iqr", "zscore"])
+def test_sequential_bounds_compute_the_input_once(spark, outlying, method):
+    seen = spark.sparkContext.accumulator(0)
+
+    def traced(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    kept = remove_outliers(outlying.mapInArrow(traced, outlying.schema), ["a", "b"], method, sequential=True)
+    assert kept.count() == 20 and seen.value == 23
+
+
 def test_approximate_bounds(outlying):
     assert remove_outliers(outlying, ["a"], accuracy=1000).count() == 20
 
