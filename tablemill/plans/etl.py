@@ -90,10 +90,11 @@ def notebook_flow(
 ) -> dict[str, DataFrame]:
     """Load trips, prepare them, export trips, metrics and vendor summary below ``out``; return all reports.
 
-    The prepared trips are exported once; the reports read a stored copy.
+    The prepared trips are exported once. ``prepare_trips`` has stored their deduplicated rows, which the export and the
+    reports read; a second copy takes longer to write than the few derived columns to compute.
     """
     df = load_data(spark, source, **options) if isinstance(source, str) else source
-    prepared = materialize(prepare_trips(df, order_by), "prepared")
+    prepared = prepare_trips(df, order_by)
     reports = run_reports(prepared, NOTEBOOK)
     export_csv(prepared, f"{out}/transformed_data.csv")
     export_json(reports["metrics"], f"{out}/metrics.json")

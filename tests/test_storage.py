@@ -228,6 +228,14 @@ def test_notebook_flow_exports(spark, sf, tmp_path):
     assert back["total_trips"] == rides and back["weekend_trips"] + back["weekday_trips"] == rides
 
 
+def test_notebook_flow_stores_one_copy(spark, sf, tmp_path, monkeypatch):
+    """Deduplicated rows are stored once; export and reports derive the rest from them."""
+    labels, scratch = [], session.scratch_path
+    monkeypatch.setattr(session, "scratch_path", lambda spark, label: labels.append(label) or scratch(spark, label))
+    etl.notebook_flow(spark, load_trips(spark, sf), TRIP_ORDER, str(tmp_path))
+    assert labels.count("unique") == 1 and "prepared" not in labels
+
+
 def test_defaults_read_back_exports(spark, tmp_path):
     df = spark.createDataFrame([(i, f'say "hi"\nline {i}, and ""more""') for i in range(50)], "id long, text string")
     for name, export in (("out.json", X.export_json), ("out.csv", X.export_csv)):
